@@ -17,14 +17,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dqspark.functions.numbers import numeric
+from dqspark.operators.skew import spread_join
 from dqspark.session import fits_one_task, stage
 
-#: A value is hot when it fills at least this share of its group, hence there
-#: are never more than 1 / HOT_SHARE hot values in a group.
-HOT_SHARE = 0.001
-SALTS = 256
-
-
 def long_numbers(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Rows ``(by..., column, value)`` of the non-missing values of ``columns``."""
     cells = F.array(
@@ -41,12 +36,17 @@ def value_counts(values: DataFrame, keys: Sequence[str]) -> DataFrame:
     return values.groupBy(*keys, "value").agg(F.count("*").alias("n"))
 
 
+def _most_frequent() -> Column:
+    """Aggregate whose field ``value`` is the mode, the smallest one on a tie."""
+    return F.min(F.struct((-F.col("n")).alias("minus_n"), F.col("value").alias("value")))
+
+
 def _slices(counts: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Range-partitioned counts with their slice number, and one row per slice.
 
     The slice number is a partition id, so the table is staged before it is
-    used twice. The second frame holds ``slice_n``, ``slice_before`` and the
-    group total ``total``; it has about one row per partition and group.
+    used twice. The second frame holds ``slice_n``, ``slice_before`` and of the
+    group ``total`` and ``mode``; it has about one row per partition and group.
     """
     sliced = stage(
         counts.repartitionByRange(*keys, "value").withColumn("slice", F.spark_partition_id())
@@ -55,7 +55,9 @@ def _slices(counts: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFram
     earlier = groups.orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
     totals = (
         sliced.groupBy(*keys, "slice")
-        .agg(F.sum("n").alias("slice_n"))
+        .agg(F.sum("n").alias("slice_n"), _most_frequent().alias("slice_mode"))
+        .withColumn("mode", F.min("slice_mode").over(groups)["value"])
+        .drop("slice_mode")
         .withColumn("slice_before", F.coalesce(F.sum("slice_n").over(earlier), F.lit(0)))
         .withColumn("total", F.sum("slice_n").over(groups))
     )
@@ -73,7 +75,7 @@ def positions(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     sliced, totals = _slices(counts, keys)
     inside = W.partitionBy(*keys, "slice").orderBy("value").rowsBetween(W.unboundedPreceding, -1)
     return (
-        sliced.join(totals.drop("slice_n"), [*keys, "slice"])
+        sliced.join(totals.drop("slice_n", "mode"), [*keys, "slice"])
         .withColumn("before", F.col("slice_before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
         .drop("slice", "slice_before")
     )
@@ -85,11 +87,13 @@ def average_ranks(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def quantile_table(counts: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact, linearly interpolated quantiles: ``(keys..., total, q array)``."""
+    """Exact, linearly interpolated quantiles: ``(keys..., total, mode, q array)``."""
     if fits_one_task(counts):
         wanted = F.array(*[F.lit(float(p)) for p in probs])
         return counts.groupBy(*keys).agg(
-            F.sum("n").alias("total"), F.percentile("value", wanted, F.col("n")).alias("q")
+            F.sum("n").alias("total"),
+            _most_frequent()["value"].alias("mode"),
+            F.percentile("value", wanted, F.col("n")).alias("q"),
         )
     sliced, totals = _slices(counts, keys)
     place = [F.lit(float(p)) * (F.col("total") - 1) for p in probs]
@@ -112,7 +116,7 @@ def quantile_table(counts: DataFrame, keys: Sequence[str], probs: Sequence[float
             "ranks",
             F.filter("ranks", lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("n"))),
         )
-        .select(*keys, "total", "value", F.explode("ranks").alias("rank"))
+        .select(*keys, "total", "mode", "value", F.explode("ranks").alias("rank"))
     )
     at = [
         (
@@ -121,7 +125,7 @@ def quantile_table(counts: DataFrame, keys: Sequence[str], probs: Sequence[float
         )
         for x in place
     ]
-    ends = picked.groupBy(*keys, "total").agg(
+    ends = picked.groupBy(*keys, "total", "mode").agg(
         *[c.alias(f"_{side}{i}") for i, pair in enumerate(at) for side, c in zip(("lo", "hi"), pair)]
     )
 
@@ -130,13 +134,13 @@ def quantile_table(counts: DataFrame, keys: Sequence[str], probs: Sequence[float
         mixed = (F.ceil(x) - x) * low + (x - F.floor(x)) * high
         return F.when(low == high, low).otherwise(mixed)
 
-    return ends.select(*keys, "total", F.array(*[between(i) for i in range(len(probs))]).alias("q"))
+    return ends.select(*keys, "total", "mode", F.array(*[between(i) for i in range(len(probs))]).alias("q"))
 
 
 def quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Quantiles of several columns at once: ``(by..., column, total, q array)``."""
+    """Quantiles of several columns at once: ``(by..., column, total, mode, q array)``."""
     keys = [*by, "column"]
     return quantile_table(value_counts(long_numbers(df, columns, by), keys), keys, probs)
 
@@ -156,28 +160,11 @@ def scalar_struct(table: DataFrame, columns: Sequence[str], fields: dict[str, Co
 
 
 def attach_ranks(rows: DataFrame, ranks: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """Join ``avg_rank`` to rows by ``(keys, value)`` without piling up on hot values.
-
-    Hot values are at most 1 / HOT_SHARE per group by definition: that small
-    table is broadcast. Their rows carry a salt so that they stay spread over
-    all tasks in the join that serves the remaining values.
-    """
-    table = ranks.select(*keys, F.col("value").alias(value), "n", "total", "avg_rank")
-    if fits_one_task(rows):
-        return rows.join(table.drop("n", "total").withColumnRenamed("avg_rank", out), [*keys, value])
-    hot = F.col("n") >= HOT_SHARE * F.col("total")
-    few = table.where(hot).drop("n", "total").withColumnRenamed("avg_rank", "_hot")
-    rest = (
-        table.where(~hot).drop("n", "total").withColumnRenamed("avg_rank", "_rest").withColumn("_salt", F.lit(0))
-    )
-    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int") + 1
-    return (
-        rows.join(F.broadcast(few), [*keys, value], "left")
-        .withColumn("_salt", F.when(F.col("_hot").isNotNull(), spread).otherwise(0))
-        .join(rest, [*keys, value, "_salt"], "left")
-        .withColumn(out, F.coalesce("_hot", "_rest"))
-        .drop("_hot", "_rest", "_salt")
+    """Join ``avg_rank`` to rows by ``(keys, value)``, hot values spread out."""
+    table = ranks.select(
+        *keys, F.col("value").alias(value), F.col("avg_rank").alias(out), F.col("n").alias("_n"), "total"
     )
+    return spread_join(rows, table, [*keys, value], [out], F.col("_n"), F.col("total"))
 
 
 def with_average_rank(df: DataFrame, column: str, out: str = "avg_rank") -> DataFrame:
