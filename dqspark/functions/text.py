@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import sys
 import unicodedata
 from functools import lru_cache
 
@@ -37,13 +36,14 @@ def title_case(c: Column) -> Column:
 
 @lru_cache(maxsize=1)
 def _accent_tables() -> tuple[str, str, dict[str, str]]:
-    """Compatibility decomposition without combining marks, for all of Unicode.
+    """Compatibility decomposition without combining marks.
 
-    Derived by rule from the Unicode database: characters that become one other
-    character, characters that vanish, and those that become several.
+    Derived by rule from the Unicode database (every plane that decomposes):
+    characters that become one other character, characters that vanish, and
+    those that become several. Hangul follows from arithmetic instead.
     """
     single, gone, several = {}, [], {}
-    for code in range(0x80, sys.maxunicode + 1):
+    for code in range(0x80, 0x30000):
         if 0xAC00 <= code <= 0xD7A3 or 0xD800 <= code <= 0xDFFF:
             continue
         char = chr(code)
@@ -59,9 +59,9 @@ def _accent_tables() -> tuple[str, str, dict[str, str]]:
     return "".join(single) + "".join(gone), "".join(single.values()), several
 
 
-def _char_class(chars) -> str:
-    """Regular-expression class of the given characters, as code point ranges."""
-    codes = sorted(map(ord, chars))
+def _char_class(codes) -> str:
+    """Regular-expression class of the given code points, as ranges."""
+    codes = sorted(codes)
     parts, start = [], codes[0]
     for here, following in zip(codes, codes[1:] + [None]):
         if following != here + 1:
@@ -70,37 +70,46 @@ def _char_class(chars) -> str:
     return "[" + "".join(parts) + "]"
 
 
+@lru_cache(maxsize=1)
+def _several_classes() -> tuple[str, str]:
+    """A wide, cheap class that Latin text does not meet, and the exact one."""
+    codes = {ord(c) for c in _accent_tables()[2]} | set(range(0xAC00, 0xD7A4))
+    low = {c for c in codes if c < 0x100}
+    lowest = min(codes - low)
+    return _char_class(low)[:-1] + f"\\x{{{lowest:X}}}-\\x{{10FFFF}}]", _char_class(codes)
+
+
 def _letters(first: int, count: int) -> Column:
-    return F.array(*[F.lit(chr(first + i)) for i in range(count)])
+    return F.split(F.lit(",".join(chr(first + i) for i in range(count))), ",")
 
 
-def _expand_char(char: Column, several: dict[str, str]) -> Column:
-    table = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+def _expand_char(char: Column) -> Column:
+    several = _accent_tables()[2]
+    # One literal, folded to a map when the plan is optimised.
+    entries = "\x01".join(f"{k}\x02{v}" for k, v in several.items())
+    table = F.str_to_map(F.lit(entries), F.lit("\x01"), F.lit("\x02"))
     # A Hangul syllable is lead, vowel and optional tail by arithmetic on its code.
     index = F.ascii(char) - F.lit(0xAC00)
-    tail = F.when(index % 28 > 0, F.get(_letters(0x11A8, 27), index % 28 - 1)).otherwise("")
     syllable = F.concat(
         F.get(_letters(0x1100, 19), F.floor(index / 588).cast("int")),
         F.get(_letters(0x1161, 21), F.floor((index % 588) / 28).cast("int")),
-        tail,
-    )
-    return F.coalesce(
-        F.try_element_at(table, char),
-        F.when(char.between("가", "힣"), syllable),
-        char,
+        F.when(index % 28 > 0, F.get(_letters(0x11A8, 27), index % 28 - 1)).otherwise(""),
     )
+    return F.coalesce(F.when(char.between("가", "힣"), syllable), F.try_element_at(table, char), char)
 
 
 def strip_accents(c: Column) -> Column:
     """Compatibility-decompose and drop combining marks.
 
-    ``translate`` handles plain text in one pass; only strings that hold a
-    ligature, fraction, Hangul syllable or the like take the per-character way.
+    ``translate`` handles most text in one pass; only strings that hold a
+    ligature, fraction, Hangul syllable or the like are expanded before,
+    character by character.
     """
-    source, target, several = _accent_tables()
-    rare = _char_class(several)[:-1] + "\\x{AC00}-\\x{D7A3}]"
-    expanded = F.array_join(F.transform(F.split(c, ""), lambda ch: _expand_char(ch, several)), "")
-    return F.translate(F.when(c.rlike(rare), expanded).otherwise(c), source, target)
+    source, target, _ = _accent_tables()
+    wide, exact = _several_classes()
+    expanded = F.array_join(F.transform(F.split(c, ""), _expand_char), "")
+    plain = F.translate(F.when(c.rlike(wide) & c.rlike(exact), expanded).otherwise(c), source, target)
+    return F.when(c.rlike(r"[^\x00-\x7F]"), plain).otherwise(c)
 
 
 def norm_key(c: Column) -> Column:

@@ -111,8 +111,10 @@ def correlation_matrix(
     column does not vary.
     """
     cols = present(df, columns)
-    pairs = [*combinations(cols, 2), *[(c, c) for c in cols]]
-    long = _METHODS[method](df, pairs)
+    diagonal = pearson_pairs(df, [(c, c) for c in cols]).withColumn(
+        "correlation", F.when(F.col("correlation").isNotNull(), 1.0)
+    )
+    long = diagonal if len(cols) < 2 else correlation_pairs(df, cols, method).unionByName(diagonal)
     both_ways = long.select(
         F.inline(
             F.array(

@@ -60,7 +60,7 @@ def _uniqueness(df: DataFrame, key: str) -> Check:
     every partial result would be shuffled once per key."""
     check = Check()
     keys = df.agg(F.count_distinct(F.col(key))).scalar()
-    check.aggregates["unique_keys"] = F.max(keys)
+    check.aggregates["unique_keys"] = F.coalesce(F.max(keys), F.lit(0))
     unique, total = F.col("unique_keys"), F.col("total")
     value = numbers.share(unique, total)
     text = F.format_string(fixed.QUALITY_TEXTS["uniqueness"], F.lit(key), unique, total, total - unique)
