@@ -67,3 +67,39 @@ def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dirty_customers_sql() -> str:
     return DIRTY_CUSTOMERS.format(customer="customer", orders="orders")
+
+
+#: Amounts of lineitem written the ways people write them, right and wrong.
+MESSY_NUMBERS = """
+WITH c AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents,
+         CAST(floor(l_extendedprice) AS BIGINT) AS whole
+  FROM {lineitem})
+SELECT l_orderkey, l_linenumber,
+  CASE (l_orderkey + l_linenumber + l_partkey) % 16
+    WHEN 0 THEN CAST(whole AS STRING)
+    WHEN 1 THEN concat('R$ ', CAST(whole AS STRING), ',', lpad(CAST(cents % 100 AS STRING), 2, '0'))
+    WHEN 2 THEN concat(CAST(CAST(floor(whole / 1000) AS BIGINT) AS STRING), '.', lpad(CAST(whole % 1000 AS STRING), 3, '0'))
+    WHEN 3 THEN concat('  R$', CAST(CAST(floor(whole / 1000) AS BIGINT) AS STRING), '.', lpad(CAST(whole % 1000 AS STRING), 3, '0'), ',5 ')
+    WHEN 4 THEN concat(CAST(whole AS STRING), '.', lpad(CAST(cents % 100 AS STRING), 2, '0'))
+    WHEN 5 THEN concat('0.', lpad(CAST(whole % 1000 AS STRING), 3, '0'))
+    WHEN 6 THEN '1,234,567'
+    WHEN 7 THEN concat('1.234.', CAST(cents % 100 AS STRING))
+    WHEN 8 THEN concat('-', CAST(whole AS STRING), 'e2')
+    WHEN 9 THEN concat(CAST(whole AS STRING), 'd')
+    WHEN 10 THEN concat(CAST(whole % 10 AS STRING), '_000')
+    WHEN 11 THEN 'nan'
+    WHEN 12 THEN ' '
+    WHEN 13 THEN concat('US$ ', CAST(whole AS STRING))
+    WHEN 14 THEN concat(CAST(whole AS STRING), ' 000')
+    ELSE NULL END AS amount
+FROM c
+"""
+
+
+def messy_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(MESSY_NUMBERS, lineitem=table(spark, sf_dir, "lineitem"))
+
+
+def messy_numbers_sql() -> str:
+    return MESSY_NUMBERS.format(lineitem="lineitem")

@@ -14,6 +14,7 @@ import sys
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The exact Mann-Whitney distribution is used up to this many pairs.
 EXACT_PAIRS = 10_000
@@ -80,7 +81,7 @@ def rank_sum_tail_value(u: float, n1: int, n2: int) -> float:
     return min(1.0, 2.0 * sum(ways[top:]) / sum(ways))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def beta_tail(a: pd.Series, b: pd.Series, ratio: pd.Series) -> pd.Series:
     return pd.Series(
         [None if pd.isna([x, y, r]).any() else beta_tail_value(x, y, r) for x, y, r in zip(a, b, ratio)],
@@ -88,13 +89,13 @@ def beta_tail(a: pd.Series, b: pd.Series, ratio: pd.Series) -> pd.Series:
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def normal_tail(z: pd.Series) -> pd.Series:
     """Upper tail doubled: ``2 * P(Z > z)``."""
     return z.map(lambda v: math.erfc(v / math.sqrt(2.0)), na_action="ignore").astype("float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def rank_sum_tail(u: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
     """Exact p where the samples are small enough, else missing."""
     return pd.Series(

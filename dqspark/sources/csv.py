@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from dqspark.fixed import NA_TOKENS
 
-PROCESSED_SCHEMA = T.StructType.fromDDL(
+PROCESSED_SCHEMA = (
     "customer_id string, customer_name string, email string, age double, gender string, "
     "city string, state string, signup_date date, income double, purchase_count bigint, "
     "total_spent double, satisfaction_score double, email_valido boolean, "
