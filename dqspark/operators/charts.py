@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from dqspark.functions.dates import month_start
 from dqspark.functions.numbers import numeric
 from dqspark.operators.profile import top_values
-from dqspark.operators.ranks import long_numbers, quantile_table, quantiles, scalar_struct, value_counts
+from dqspark.operators.ranks import long_numbers, quantile_table, quantiles, value_counts
+from dqspark.operators.skew import spread_join
 
 #: exp() of anything below this is 0.0 in double precision.
 EXP_UNDERFLOW = -745.2
@@ -106,32 +107,35 @@ def boxplot_stats(df: DataFrame, columns: Sequence[str], by: str | None = None,
     """Box, whiskers and flier counts per column (and group).
 
     A whisker ends at the most extreme value within ``k`` interquartile ranges.
-    Works on value counts: the table itself is read once.
     """
     keys = [by, "column"] if by else ["column"]
     values = long_numbers(df, columns, [by] if by else [])
+    probs = [0.25, 0.5, 0.75]
     if by:
         values = values.where(F.col(by).isNotNull())
-    counts = value_counts(values, keys)
+        table = quantile_table(value_counts(values, keys), keys, probs)
+    else:
+        table = quantiles(df, columns, probs)
     q1, median, q3 = (F.col("q")[i] for i in range(3))
-    boxes = quantile_table(counts, keys, [0.25, 0.5, 0.75]).select(
+    boxes = table.select(
         *keys,
         F.col("total").alias("n"),
         q1.alias("q1"),
         median.alias("median"),
         q3.alias("q3"),
-        (q1 - F.lit(k) * (q3 - q1)).alias("_low"),
-        (q3 + F.lit(k) * (q3 - q1)).alias("_high"),
+        (q1 - F.lit(k) * (q3 - q1)).alias("low"),
+        (q3 + F.lit(k) * (q3 - q1)).alias("high"),
     )
-    inside = F.col("value").between(F.col("_low"), F.col("_high"))
+    fields = ["n", "q1", "median", "q3", "low", "high"]
+    rows = boxes.agg(F.sum("n")).scalar()
+    inside = F.col("value").between(F.col("low"), F.col("high"))
     return (
-        counts.withColumnRenamed("n", "_n")
-        .join(boxes, keys)
+        spread_join(values, boxes, keys, fields, F.col("n"), rows)
         .groupBy(*keys, "n", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-            F.sum(F.when(inside, 0).otherwise(F.col("_n"))).alias("flier_count"),
+            F.count_if(~inside).alias("flier_count"),
         )
     )
 

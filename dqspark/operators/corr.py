@@ -19,7 +19,7 @@ def _guarded_corr(x: Column, y: Column) -> Column:
     return F.when((F.var_pop(x) > 0) & (F.var_pop(y) > 0), F.corr(x, y))
 
 
-def _pair_rows(pairs: Sequence[tuple[str, str]], fields) -> Column:
+def _pair_rows(pairs: dict[int, tuple[str, str]], fields) -> Column:
     return F.inline(
         F.array(
             *[
@@ -29,7 +29,7 @@ def _pair_rows(pairs: Sequence[tuple[str, str]], fields) -> Column:
                     F.lit(b).alias("variable_2"),
                     *fields(i, a, b),
                 )
-                for i, (a, b) in enumerate(pairs)
+                for i, (a, b) in pairs.items()
             ]
         )
     )
@@ -44,18 +44,59 @@ def pearson_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
         both = F.col(a).isNotNull() & F.col(b).isNotNull()
         sums += [F.count_if(both).alias(f"n{i}"), _guarded_corr(F.col(a), F.col(b)).alias(f"r{i}")]
     return data.agg(*sums).select(
-        _pair_rows(pairs, lambda i, a, b: (F.col(f"n{i}").alias("n"), F.col(f"r{i}").alias("correlation")))
+        _pair_rows(dict(enumerate(pairs)), lambda i, a, b: (F.col(f"n{i}").alias("n"), F.col(f"r{i}").alias("correlation")))
     )
 
 
 def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Like ``pearson_pairs`` for average ranks over each pair's complete rows.
 
-    Equal (x, y) rows are combined first. Both columns of all pairs are ranked
-    in one go, and the ranks are joined back with hot values spread out.
+    Columns without a gap have one rank for all their pairs. A first, one-row
+    aggregate finds out which those are.
     """
     names = sorted({c for pair in pairs for c in pair})
     data = df.select(*[numeric(df, c).alias(c) for c in names])
+    gaps = data.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names]).first()
+    complete = {i for i, (a, b) in enumerate(pairs) if gaps[a] == 0 and gaps[b] == 0}
+    parts = []
+    if complete:
+        parts.append(_ranked_columns(data, {i: pairs[i] for i in sorted(complete)}))
+    if len(complete) < len(pairs):
+        parts.append(_ranked_pairs(data, {i: p for i, p in enumerate(pairs) if i not in complete}))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _centred(ranks: DataFrame) -> DataFrame:
+    """Ranks less their mean, which is (total + 1) / 2 whatever the ties."""
+    return ranks.withColumn("avg_rank", F.col("avg_rank") - (F.col("total") + 1) / 2)
+
+
+def _ranked_columns(data: DataFrame, pairs: dict[int, tuple[str, str]]) -> DataFrame:
+    """Every column is ranked once and joined to the rows, hot values spread out."""
+    names = sorted({c for pair in pairs.values() for c in pair})
+    rows = data.select(*names)
+    for c in names:
+        counts = data.groupBy(F.col(c).alias("value")).agg(F.count("*").alias("n"))
+        ranks = average_ranks(counts.withColumn("column", F.lit(c)), ["column"])
+        rows = attach_ranks(rows, _centred(ranks).drop("column"), [], c, f"rank_{c}")
+    squares = {c: F.sum(F.col(f"rank_{c}") * F.col(f"rank_{c}")).alias(f"s_{c}") for c in names}
+    products = [
+        F.sum(F.col(f"rank_{a}") * F.col(f"rank_{b}")).alias(f"p_{i}") for i, (a, b) in pairs.items()
+    ]
+    sums = rows.agg(F.count("*").alias("n"), *squares.values(), *products)
+
+    def fields(i: int, a: str, b: str):
+        size = F.sqrt(F.col(f"s_{a}")) * F.sqrt(F.col(f"s_{b}"))
+        return F.col("n"), F.try_divide(F.col(f"p_{i}"), size).alias("correlation")
+
+    return sums.select(_pair_rows(pairs, fields))
+
+
+def _ranked_pairs(data: DataFrame, pairs: dict[int, tuple[str, str]]) -> DataFrame:
+    """Both columns are ranked per pair, over the rows where both exist.
+
+    Equal (x, y) rows are combined first; all pairs are ranked in one go.
+    """
     cells = (
         data.select(_pair_rows(pairs, lambda i, a, b: (F.col(a).alias("x"), F.col(b).alias("y"))))
         .where(F.col("x").isNotNull() & F.col("y").isNotNull())
@@ -70,21 +111,15 @@ def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame
     )
     keys = ["pair", "side"]
     counts = cells.select("pair", sides).groupBy(*keys, "value").agg(F.sum("n").alias("n"))
-    ranks = average_ranks(counts, keys)
-
-    def side(name: str) -> DataFrame:
-        # Centred ranks: their mean is (total + 1) / 2 whatever the ties.
-        centred = F.col("avg_rank") - (F.col("total") + 1) / 2
-        return ranks.where(F.col("side") == name).withColumn("avg_rank", centred)
-
-    ranked = attach_ranks(cells, side("x"), ["pair"], "x", "rx")
-    ranked = attach_ranks(ranked, side("y"), ["pair"], "y", "ry")
+    ranks = _centred(average_ranks(counts, keys))
+    ranked = attach_ranks(cells, ranks.where(F.col("side") == "x"), ["pair"], "x", "rx")
+    ranked = attach_ranks(ranked, ranks.where(F.col("side") == "y"), ["pair"], "y", "ry")
     xx, yy, xy = (F.sum(F.col("n") * F.col(a) * F.col(b)) for a, b in (("rx", "rx"), ("ry", "ry"), ("rx", "ry")))
     sums = ranked.groupBy("pair").agg(
         F.sum("n").alias("n"), F.try_divide(xy, F.sqrt(xx) * F.sqrt(yy)).alias("correlation")
     )
-    names_of = df.sparkSession.createDataFrame(
-        [(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, variable_1 string, variable_2 string"
+    names_of = data.sparkSession.createDataFrame(
+        [(i, a, b) for i, (a, b) in pairs.items()], "pair int, variable_1 string, variable_2 string"
     )
     return names_of.join(sums, "pair", "left").select(
         "pair", "variable_1", "variable_2", F.coalesce("n", F.lit(0).cast("long")).alias("n"), "correlation"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dqspark import fixed
 from dqspark.functions import numbers
-from dqspark.operators.ranks import quantiles, scalar_struct
+from dqspark.operators.ranks import long_numbers, modes, quantiles, scalar_struct, value_counts
 
 
 def present(df: DataFrame, columns: Sequence[str] | None, default=fixed.NUMERIC_COLUMNS) -> list[str]:
@@ -28,9 +28,9 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     """
     cols = present(df, columns)
     probs = [p / 100 for p in fixed.PERCENTILES]
-    order = scalar_struct(
-        quantiles(df, cols, probs), cols, {"q": F.col("q"), "mode": F.col("mode")}
-    )
+    order = scalar_struct(quantiles(df, cols, probs), cols, {"q": F.col("q")})
+    most = modes(value_counts(long_numbers(df, cols), ["column"]), ["column"])
+    mode = scalar_struct(most, cols, {"mode": F.col("mode")})
     numbers_only = df.select(*[numbers.numeric(df, c).alias(c) for c in cols])
     moments = numbers_only.agg(*[a.alias(f"{c}_{name}") for c in cols for name, a in _moments(c).items()])
 
@@ -44,7 +44,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
             "count": m("count"),
             "mean": m("mean"),
             "median": q[50],
-            "mode": F.col("_order")[c]["mode"],
+            "mode": F.col("_mode")[c]["mode"],
             "std": m("std"),
             "variance": m("variance"),
             "min": m("min"),
@@ -61,7 +61,9 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
         return F.struct(*[v.alias(k) for k, v in fields.items()])
 
     return (
-        moments.withColumn("_order", order).select(_rows(*[row(c) for c in cols])).where(F.col("count") > 0)
+        moments.withColumns({"_order": order, "_mode": mode})
+        .select(_rows(*[row(c) for c in cols]))
+        .where(F.col("count") > 0)
     )
 
 

@@ -6,10 +6,12 @@ row. Small inputs are finished by one reducer per group. Larger ones are cut
 into slices by a range partitioning over (keys, value); a hot group simply
 spans many slices. The running position inside a slice plus the total of the
 earlier slices is the global position, and no task ever holds a whole group.
+Quantiles of a whole large table need not even that, see ``quantiles``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +22,12 @@ from dqspark.functions.numbers import numeric
 from dqspark.operators.skew import spread_join
 from dqspark.session import fits_one_task, stage
 
+#: Rows sampled to bracket the quantiles of a large table, and how many standard
+#: deviations of a sample quantile a bracket reaches to either side.
+SAMPLE_ROWS = 200_000
+SAMPLE_DEVIATIONS = 5
+
+
 def long_numbers(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Rows ``(by..., column, value)`` of the non-missing values of ``columns``."""
     cells = F.array(
@@ -36,17 +44,18 @@ def value_counts(values: DataFrame, keys: Sequence[str]) -> DataFrame:
     return values.groupBy(*keys, "value").agg(F.count("*").alias("n"))
 
 
-def _most_frequent() -> Column:
-    """Aggregate whose field ``value`` is the mode, the smallest one on a tie."""
-    return F.min(F.struct((-F.col("n")).alias("minus_n"), F.col("value").alias("value")))
+def modes(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Most frequent value per group, the smallest one on a tie: ``(keys..., mode)``."""
+    best = F.min(F.struct((-F.col("n")).alias("minus_n"), F.col("value").alias("value")))
+    return counts.groupBy(*keys).agg(best["value"].alias("mode"))
 
 
 def _slices(counts: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Range-partitioned counts with their slice number, and one row per slice.
 
     The slice number is a partition id, so the table is staged before it is
-    used twice. The second frame holds ``slice_n``, ``slice_before`` and of the
-    group ``total`` and ``mode``; it has about one row per partition and group.
+    used twice. The second frame holds ``slice_n``, ``slice_before`` and the
+    group ``total``; it has about one row per partition and group.
     """
     sliced = stage(
         counts.repartitionByRange(*keys, "value").withColumn("slice", F.spark_partition_id())
@@ -55,28 +64,33 @@ def _slices(counts: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFram
     earlier = groups.orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
     totals = (
         sliced.groupBy(*keys, "slice")
-        .agg(F.sum("n").alias("slice_n"), _most_frequent().alias("slice_mode"))
-        .withColumn("mode", F.min("slice_mode").over(groups)["value"])
-        .drop("slice_mode")
+        .agg(F.sum("n").alias("slice_n"))
         .withColumn("slice_before", F.coalesce(F.sum("slice_n").over(earlier), F.lit(0)))
         .withColumn("total", F.sum("slice_n").over(groups))
     )
     return sliced, totals
 
 
+def _running(keys: Sequence[str]) -> Column:
+    """Rows of the window's partition with a smaller value."""
+    before = W.partitionBy(*keys).orderBy("value").rowsBetween(W.unboundedPreceding, -1)
+    return F.coalesce(F.sum("n").over(before), F.lit(0))
+
+
+def _positions_in_one_task(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    # Both frames share one sort; it spills when a group is larger than memory.
+    whole = W.partitionBy(*keys).orderBy("value").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    return counts.withColumn("before", _running(keys)).withColumn("total", F.sum("n").over(whole))
+
+
 def positions(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add ``before`` (rows of the group with a smaller value) and ``total``."""
-    groups = W.partitionBy(*keys)
     if fits_one_task(counts):
-        running = groups.orderBy("value").rowsBetween(W.unboundedPreceding, -1)
-        return counts.withColumn("before", F.coalesce(F.sum("n").over(running), F.lit(0))).withColumn(
-            "total", F.sum("n").over(groups)
-        )
+        return _positions_in_one_task(counts, keys)
     sliced, totals = _slices(counts, keys)
-    inside = W.partitionBy(*keys, "slice").orderBy("value").rowsBetween(W.unboundedPreceding, -1)
     return (
-        sliced.join(totals.drop("slice_n", "mode"), [*keys, "slice"])
-        .withColumn("before", F.col("slice_before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
+        sliced.join(totals.drop("slice_n"), [*keys, "slice"])
+        .withColumn("before", F.col("slice_before") + _running([*keys, "slice"]))
         .drop("slice", "slice_before")
     )
 
@@ -86,65 +100,126 @@ def average_ranks(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return positions(counts, keys).withColumn("avg_rank", F.col("before") + (F.col("n") + 1) / 2)
 
 
-def quantile_table(counts: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact, linearly interpolated quantiles: ``(keys..., total, mode, q array)``."""
+def _covers(rank: Column) -> Column:
+    return (rank >= F.col("before")) & (rank < F.col("before") + F.col("n"))
+
+
+def _ends(counts: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """``(keys..., total, _low0.., _high0..)``: the values around each quantile."""
+    place = [F.lit(float(p)) * (F.col("total") - 1) for p in probs]
+    low, high = [F.floor(x) for x in place], [F.ceil(x) for x in place]
     if fits_one_task(counts):
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        return counts.groupBy(*keys).agg(
-            F.sum("n").alias("total"),
-            _most_frequent()["value"].alias("mode"),
-            F.percentile("value", wanted, F.col("n")).alias("q"),
+        placed = _positions_in_one_task(counts, keys)
+    else:
+        sliced, totals = _slices(counts, keys)
+        # Only the slices that hold a wanted rank are read again.
+        start, size = F.col("slice_before"), F.col("slice_n")
+        wanted = F.exists(F.array(*low, *high), lambda r: (r >= start) & (r < start + size))
+        placed = sliced.join(totals.where(wanted), [*keys, "slice"]).withColumn(
+            "before", start + _running([*keys, "slice"])
         )
-    sliced, totals = _slices(counts, keys)
+    return _pick(placed, keys, low, high)
+
+
+def _ends_in_one_task(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
     place = [F.lit(float(p)) * (F.col("total") - 1) for p in probs]
-    ranks = F.array_distinct(
-        F.array(*[f(x).cast("long") for x in place for f in (F.floor, F.ceil)])
-    )
-    # Only the slices that hold a wanted rank are read again.
-    cells = totals.withColumn(
-        "ranks",
-        F.filter(
-            ranks,
-            lambda r: (r >= F.col("slice_before")) & (r < F.col("slice_before") + F.col("slice_n")),
-        ),
-    ).where(F.size("ranks") > 0)
-    inside = W.partitionBy(*keys, "slice").orderBy("value").rowsBetween(W.unboundedPreceding, -1)
-    picked = (
-        sliced.join(cells, [*keys, "slice"])
-        .withColumn("before", F.col("slice_before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
-        .withColumn(
-            "ranks",
-            F.filter("ranks", lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("n"))),
-        )
-        .select(*keys, "total", "mode", "value", F.explode("ranks").alias("rank"))
-    )
-    at = [
-        (
-            F.max(F.when(F.col("rank") == F.floor(x).cast("long"), F.col("value"))),
-            F.max(F.when(F.col("rank") == F.ceil(x).cast("long"), F.col("value"))),
-        )
-        for x in place
-    ]
-    ends = picked.groupBy(*keys, "total", "mode").agg(
-        *[c.alias(f"_{side}{i}") for i, pair in enumerate(at) for side, c in zip(("lo", "hi"), pair)]
+    placed = _positions_in_one_task(counts, ["column"])
+    return _pick(placed, ["column"], [F.floor(x) for x in place], [F.ceil(x) for x in place])
+
+
+def _pick(placed: DataFrame, keys: Sequence[str], low: Sequence[Column], high: Sequence[Column]) -> DataFrame:
+    return placed.groupBy(*keys, "total").agg(
+        *[F.max(F.when(_covers(r), F.col("value"))).alias(f"_low{i}") for i, r in enumerate(low)],
+        *[F.max(F.when(_covers(r), F.col("value"))).alias(f"_high{i}") for i, r in enumerate(high)],
     )
 
-    def between(i: int) -> Column:
-        low, high, x = F.col(f"_lo{i}"), F.col(f"_hi{i}"), place[i]
-        mixed = (F.ceil(x) - x) * low + (x - F.floor(x)) * high
-        return F.when(low == high, low).otherwise(mixed)
 
-    return ends.select(*keys, "total", "mode", F.array(*[between(i) for i in range(len(probs))]).alias("q"))
+def _interpolated(ends: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    def between(i: int, p: float) -> Column:
+        a, b, x = F.col(f"_low{i}"), F.col(f"_high{i}"), F.lit(float(p)) * (F.col("total") - 1)
+        return F.when(a == b, a).otherwise((F.ceil(x) - x) * a + (x - F.floor(x)) * b)
+
+    q = F.array(*[between(i, p) for i, p in enumerate(probs)])
+    return ends.select(*keys, "total", q.alias("q"))
+
+
+def quantile_table(counts: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Exact, linearly interpolated quantiles: ``(keys..., total, q array)``."""
+    return _interpolated(_ends(counts, keys, probs), keys, probs)
 
 
 def quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Quantiles of several columns at once: ``(by..., column, total, mode, q array)``."""
+    """Quantiles of several columns at once: ``(by..., column, total, q array)``.
+
+    Over a whole large table a sample tells where each quantile roughly lies.
+    The values inside these brackets keep their identity, all others are only
+    counted, so that next to nothing is shuffled. The result is checked to lie
+    inside its bracket, which makes it exact; else the full way is taken.
+    """
     keys = [*by, "column"]
+    if not by and not fits_one_task(df):
+        found = _bracketed(df, columns, probs)
+        if found is not None:
+            return found
     return quantile_table(value_counts(long_numbers(df, columns, by), keys), keys, probs)
 
 
+def _bracketed(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame | None:
+    brackets = _brackets(df, columns, probs)
+    if set(brackets) != set(columns):
+        return None
+    coarse = df.select(*[_coarse(numeric(df, c), brackets[c]).alias(c) for c in columns])
+    counts = stage(value_counts(long_numbers(coarse, columns), ["column"]))
+    ends = _ends(counts, ["column"], probs)
+    rows = ends.collect()  # one row per column
+    inside = all(
+        any(low <= value <= high for low, high in brackets[row["column"]])
+        for row in rows
+        for name, value in row.asDict().items()
+        if name.startswith("_")
+    )
+    if not inside:
+        return None
+    small = df.sparkSession.createDataFrame(rows, ends.schema)
+    return _interpolated(small, ["column"], probs)
+
+
+def _brackets(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float]
+) -> dict[str, list[tuple[float, float]]]:
+    """Ascending, disjoint value ranges around each quantile, from a sample."""
+    share = min(1.0, SAMPLE_ROWS / max(df.count(), 1))
+    margin = SAMPLE_DEVIATIONS * 0.5 / math.sqrt(SAMPLE_ROWS)
+    edges = [edge for p in sorted(probs) for edge in (max(p - margin, 0.0), min(p + margin, 1.0))]
+    counts = value_counts(long_numbers(df.sample(share, seed=17), columns), ["column"])
+    table = _interpolated(_ends_in_one_task(counts, edges), ["column"], edges)
+    brackets = {}
+    for row in table.collect():  # one row per column
+        spans = [
+            (-math.inf if edges[i] == 0.0 else row["q"][i], math.inf if edges[i + 1] == 1.0 else row["q"][i + 1])
+            for i in range(0, len(edges), 2)
+        ]
+        merged = [spans[0]]
+        for low, high in spans[1:]:
+            if low <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+            else:
+                merged.append((low, high))
+        brackets[row["column"]] = merged
+    return brackets
+
+
+def _coarse(value: Column, brackets: Sequence[tuple[float, float]]) -> Column:
+    """Values inside a bracket as they are, those of a gap as one value in it."""
+    rule = F.when(value < brackets[0][0], F.lit(math.nextafter(brackets[0][0], -math.inf)))
+    for (low, high), (following, _) in zip(brackets, [*brackets[1:], (math.inf, math.inf)]):
+        rule = rule.when(value.between(low, high), value)
+        rule = rule.when((value > high) & (value < following), F.lit(math.nextafter(high, math.inf)))
+    return rule.otherwise(value)
+
+
 def scalar_struct(table: DataFrame, columns: Sequence[str], fields: dict[str, Column]) -> Column:
     """Per-column rows folded into one struct value, as a scalar subquery.
 
