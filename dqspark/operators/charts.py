@@ -35,8 +35,8 @@ def _extent(values: DataFrame) -> Column:
 def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
     """0-based equal-width bin; the last bin includes its right edge."""
     width = (high - low) / bins
-    place = F.floor(F.try_divide(value - low, width))
-    return F.coalesce(F.least(place, F.lit(bins - 1).cast("long")), F.lit(0).cast("long"))
+    place = F.coalesce(F.floor(F.try_divide(value - low, width)), F.lit(0).cast("long"))
+    return F.least(place, F.lit(bins - 1).cast("long"))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 40) -> DataFrame:

@@ -13,10 +13,13 @@ from dqspark.operators.describe import present
 from dqspark.operators.ranks import attach_ranks, average_ranks, value_counts
 
 
-def _guarded_corr(x: Column, y: Column) -> Column:
-    """Pearson over the rows where both exist; missing if one does not vary."""
+def _pearson(x: Column, y: Column) -> Column:
+    """Pearson over the rows where both exist; missing if one does not vary.
+
+    Built from covariance and variances, since ``corr`` itself fails then.
+    """
     x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-    return F.when((F.var_pop(x) > 0) & (F.var_pop(y) > 0), F.corr(x, y))
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(y)))
 
 
 def _pair_rows(pairs: dict[int, tuple[str, str]], fields) -> Column:
@@ -42,7 +45,7 @@ def pearson_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     sums = []
     for i, (a, b) in enumerate(pairs):
         both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        sums += [F.count_if(both).alias(f"n{i}"), _guarded_corr(F.col(a), F.col(b)).alias(f"r{i}")]
+        sums += [F.count_if(both).alias(f"n{i}"), _pearson(F.col(a), F.col(b)).alias(f"r{i}")]
     return data.agg(*sums).select(
         _pair_rows(dict(enumerate(pairs)), lambda i, a, b: (F.col(f"n{i}").alias("n"), F.col(f"r{i}").alias("correlation")))
     )
