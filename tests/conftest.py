@@ -42,7 +42,7 @@ def spark(tmp_path_factory):
             "spark.driver.memory": "6g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
