@@ -64,11 +64,11 @@ def chart_data(done: DataFrame) -> dict[str, DataFrame]:
 def run(spark: SparkSession, source: str, target: str, with_charts: bool = True) -> dict[str, str]:
     """Run the job; returns the written datasets by name.
 
-    The parsed source, the deduplicated and the processed table are staged
+    The scanned source, the cleaned, the deduplicated and the processed table are staged
     once each as columnar tables, because many reports read them. Everything
     else is a single small aggregation.
     """
-    raw = csv.load_raw(spark, source)
+    raw = stage(csv.load_raw(spark, source))
     typed = type_customers(raw)
     cleaned = stage(clean_customers(raw, check_age=False))
     valid = clean.validate_range(cleaned)
