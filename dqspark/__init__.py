@@ -1,0 +1 @@
+"""Data quality and statistics of tabular data on Spark."""
