@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dqspark.llm.chat import OP10_SQL, op10_chat_events
+from dqspark.llm.packing import op1_vector_packing
 
-QUERIES = {"op10_chat_events": op10_chat_events}
+QUERIES = {f.__name__: f for f in (op1_vector_packing, op10_chat_events)}
 ORACLES = {"op10_chat_events": OP10_SQL}
