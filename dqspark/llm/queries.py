@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dqspark.llm.chat import OP10_SQL, op10_chat_events
+from dqspark.llm.outliers import op2_robust_outliers
 from dqspark.llm.packing import op1_vector_packing
 from dqspark.llm.simhash import op7_simhash_pivots
 
-QUERIES = {f.__name__: f for f in (op1_vector_packing, op7_simhash_pivots, op10_chat_events)}
+QUERIES = {f.__name__: f for f in (op1_vector_packing, op2_robust_outliers, op7_simhash_pivots, op10_chat_events)}
 ORACLES = {"op10_chat_events": OP10_SQL}
