@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from dqspark.llm.chat import OP10_SQL, op10_chat_events
+from dqspark.llm.hostrank import op9_host_pagerank
 from dqspark.llm.outliers import op2_robust_outliers
 from dqspark.llm.packing import op1_vector_packing
 from dqspark.llm.simhash import op7_simhash_pivots
 from dqspark.llm.toxicity import op4_toxicity_trees
 
-QUERIES = {f.__name__: f for f in (op1_vector_packing, op2_robust_outliers, op4_toxicity_trees, op7_simhash_pivots, op10_chat_events)}
+QUERIES = {f.__name__: f for f in (op1_vector_packing, op2_robust_outliers, op4_toxicity_trees, op7_simhash_pivots, op9_host_pagerank, op10_chat_events)}
 ORACLES = {"op10_chat_events": OP10_SQL}
