@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dqspark.llm.chat import OP10_SQL, op10_chat_events
+from dqspark.llm.decontamination import op3_simhash_windows
 from dqspark.llm.hostrank import op9_host_pagerank
 from dqspark.llm.licenses import op5_license_rules
 from dqspark.llm.outliers import op2_robust_outliers
@@ -10,5 +11,5 @@ from dqspark.llm.packing import op1_vector_packing
 from dqspark.llm.simhash import op7_simhash_pivots
 from dqspark.llm.toxicity import op4_toxicity_trees
 
-QUERIES = {f.__name__: f for f in (op1_vector_packing, op2_robust_outliers, op4_toxicity_trees, op5_license_rules, op7_simhash_pivots, op9_host_pagerank, op10_chat_events)}
+QUERIES = {f.__name__: f for f in (op1_vector_packing, op2_robust_outliers, op3_simhash_windows, op4_toxicity_trees, op5_license_rules, op7_simhash_pivots, op9_host_pagerank, op10_chat_events)}
 ORACLES = {"op10_chat_events": OP10_SQL}
