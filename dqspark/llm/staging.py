@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -48,6 +49,15 @@ class Staged:
         out._staged_path = path
         return out
 
+    def free(self) -> None:
+        """Let go of shuffle files that no live table needs.
+
+        Spark's cleaner deletes them once the driver's garbage is collected,
+        which by itself may come long after the disks are full.
+        """
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, df: DataFrame) -> None:
         delete(self.spark, df._staged_path)
 
