@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dqspark.llm import worker
+from dqspark.llm.rows import pick
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(worker)
@@ -269,10 +270,8 @@ def _search(block: list[tuple[int, str]]):
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without a benchmark passage, with all their columns."""
-    found = find_passages(docs, items, id_col, text_col).select(F.col("id").alias("_id"), F.col("text_key").alias("_key"))
-    keyed = docs.withColumn("_key_of", F.xxhash64(F.col(text_col)))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_key_of") == F.col("_key"))
-    return keyed.join(found.distinct(), same, "left_anti").select(*docs.columns)
+    found = find_passages(docs, items, id_col, text_col).select("id", "text_key")
+    return pick(docs, found, id_col, F.xxhash64(F.col(text_col)), "left_anti")
 
 
 def op3_simhash_windows(spark, sf_dir: str) -> DataFrame:

@@ -92,31 +92,27 @@ def matches(words: Column, rules: Sequence[Rule]) -> Column:
     return F.flatten(found)
 
 
-def scan(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
-    """The columns of ``docs`` but the text, with words, n_words and detections.
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
+    """id, n_words, words and detections of each row of ``docs``.
 
     ``detections`` is the sorted array of (first, last, label, number, weight):
     words from 0, number of the rule. ``words`` is the normalised text where a
     keyword occurs, else null. Each row keeps its row, repeated or not; null and
-    empty texts have no words and detections. A column named like a result is an
-    error.
+    empty texts have no words and detections. No rows give no rows. Other columns
+    are not read.
     """
-    own = [c for c in docs.columns if c != text_col]
-    clash = {"words", "n_words", "detections", "_row", "_match"} & set(own)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} have the names of results")
     every = any_of(dict.fromkeys(k for r in rules for k in r.keywords))
     gate = F.col("_words").rlike(f" {every}")
-    read = docs.select(*own, normal_words(F.col(text_col)).alias("_words"))
+    read = docs.select(F.col(id_col).alias("id"), normal_words(F.col(text_col)).alias("_words"))
     read = read.select(
-        *own,
+        "id",
         F.greatest(blanks(F.col("_words")) - 1, F.lit(0).cast("long")).alias("n_words"),
         F.when(gate, F.col("_words")).alias("words"),
     )
     tried = read.withColumn("_match", F.when(F.col("words").isNotNull(), matches(F.col("words"), rules)))
     # Rows are told apart inside this one pass only, so the numbers may depend on partitions.
     rows = tried.withColumn("_row", F.monotonically_increasing_id())
-    listed = rows.select(*own, "n_words", "words", "_row", F.posexplode_outer("_match").alias("_at", "_m"))
+    listed = rows.select("id", "n_words", "words", "_row", F.posexplode_outer("_match").alias("_at", "_m"))
     listed = listed.withColumn("words", F.when(F.coalesce("_at", F.lit(0)) == 0, F.col("words")))
     m = F.col("_m")
     before = (
@@ -131,7 +127,7 @@ def scan(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES)
     kept = F.struct(*[m[c].alias(c) for c in ("first", "last", "label", "number", "weight")])
     gathered = listed.withColumn("_kept", F.when(stays, kept)).groupBy("_row")
     return gathered.agg(
-        *[F.first(F.col(f"`{c}`")).alias(c) for c in own],
+        F.first("id").alias("id"),
         F.first("n_words").alias("n_words"),
         F.max("words").alias("words"),
         F.sort_array(F.collect_list("_kept")).alias("detections"),
@@ -148,7 +144,7 @@ def phrase_places(words: Column, phrase: str) -> tuple[Column, Column, Column]:
 
 
 def op5_license_rules(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     phrases = tuple(Rule(label, 0, PHRASE_WEIGHT, (phrase,), phrase) for phrase, label in PHRASES)
     found = scan(docs, rules=RULES + phrases)
     counted = [phrase_places(F.col("words"), phrase) for phrase, _ in PHRASES]
@@ -159,7 +155,7 @@ def op5_license_rules(spark, sf_dir: str) -> DataFrame:
     unsure = F.aggregate(F.col("detections.weight"), F.lit(1.0), lambda x, w: x * (1 - w))
     unsure = F.when(F.size(labels) > 0, F.least(unsure, F.lit(1 - PHRASE_WEIGHT))).otherwise(F.lit(1.0))
     return found.select(
-        "doc_id",
+        F.col("id").alias("doc_id"),
         "n_words",
         (counted[0][0] + counted[1][0] + counted[2][0]).alias("n_base"),
         F.least(*[c[1] for c in counted]).alias("first_word"),

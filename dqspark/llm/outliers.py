@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dqspark.llm import worker
+from dqspark.llm.rows import pick
 from dqspark.llm.staging import Staged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -265,11 +266,9 @@ def quality_rules(
 def keep_good(docs: DataFrame, **columns: str) -> DataFrame:
     """The rows of ``docs`` that the quality rules keep, with all their columns."""
     names = {"id_col": "doc_id", "text_col": "text", "lang_col": "lang", "source_col": "source"} | columns
-    bad = quality_rules(docs, **names).where(~F.col("kept")).select(F.col("id").alias("_id"), F.col("row_key").alias("_key"))
+    bad = quality_rules(docs, **names).where(~F.col("kept")).select("id", "row_key")
     key = row_key(names["text_col"], names["lang_col"], names["source_col"])
-    keyed = docs.withColumn("_key_of", key)
-    same = F.col(names["id_col"]).eqNullSafe(F.col("_id")) & (F.col("_key_of") == F.col("_key"))
-    return keyed.join(bad.distinct(), same, "left_anti").select(*docs.columns)
+    return pick(docs, bad, names["id_col"], key, "left_anti")
 
 
 def op2_robust_outliers(spark, sf_dir: str) -> DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from dqspark.llm import worker
 from dqspark.llm.components import components
+from dqspark.llm.rows import column, fresh
 from dqspark.llm.staging import Staged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -280,14 +281,14 @@ def near_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the lines that near-duplicate an earlier paragraph; no row is dropped."""
     gone = near_paragraphs(docs, id_col, text_col).where(F.size("removed") > 0)
-    gone = gone.select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), F.col("removed.line").alias("_lines"))
-    keyed = docs.withColumn("_key_of", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_key_of") == F.col("_key"))
-    joined = keyed.join(gone.dropDuplicates(["_id", "_key"]), same, "left")
-    lines = F.split(F.col(text_col), "\n", -1)
-    left = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("_lines", i)), "\n")
-    text = F.when(F.col("_lines").isNull(), F.col(text_col)).otherwise(left)
-    return joined.withColumn(text_col, text).select(*docs.columns)
+    key, other_id, other_key, lines = fresh(docs, "_key", "_other_id", "_other_key", "_lines")
+    gone = gone.select(column("id").alias(other_id), column("text_key").alias(other_key), F.col("removed.line").alias(lines))
+    keyed = docs.withColumn(key, F.xxhash64(F.coalesce(column(text_col), F.lit(""))))
+    same = column(id_col).eqNullSafe(column(other_id)) & (column(key) == column(other_key))
+    joined = keyed.join(gone.dropDuplicates([other_id, other_key]), same, "left")
+    left = F.filter(F.split(column(text_col), "\n", -1), lambda _, i: ~F.array_contains(column(lines), i))
+    text = F.when(column(lines).isNull(), column(text_col)).otherwise(F.array_join(left, "\n"))
+    return joined.withColumn(text_col, text).drop(key, other_id, other_key, lines)
 
 
 def op8_paragraph_minhash(spark, sf_dir: str) -> DataFrame:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from dqspark.llm import worker
 from dqspark.llm.components import components
+from dqspark.llm.rows import pick
 from dqspark.llm.staging import Staged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -182,13 +183,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     groups = near_groups(docs, id_col, text_col)
     # Null components: rows whose ids are all null are told apart by fingerprint.
     own = F.when(F.col("component").isNull(), F.col("fp"))
-    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("_id"), F.col("text_key").alias("_key")))
-    stay = groups.groupBy("component", own.alias("own")).agg(first.alias("first")).select("first._id", "first._key")
-    keyed = docs.withColumn("_key_of", F.xxhash64(F.col(text_col)))
-    kept = keyed.join(
-        stay.distinct(), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_key_of") == F.col("_key")), "left_semi"
-    )
-    return kept.dropDuplicates([id_col, "_key_of"]).select(*docs.columns)
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key"))
+    stay = groups.groupBy("component", own.alias("own")).agg(first.alias("first")).select("first.id", "first.text_key")
+    return pick(docs, stay, id_col, F.xxhash64(F.col(text_col)), "left_semi", once=True)
 
 
 def op7_simhash_pivots(spark, sf_dir: str) -> DataFrame:

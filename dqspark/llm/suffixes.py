@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dqspark.llm import worker
+from dqspark.llm.rows import column, fresh
 from dqspark.llm.staging import Staged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -398,9 +399,14 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Null texts stay null. Bytes of characters that a cut has broken go too.
     """
     others = [c for c in docs.columns if c != text_col]
-    marked = docs.withColumn("_no_text", F.col(text_col).isNull())
-    found = repeats(marked, id_col, text_col, (*others, "_no_text"), as_text=True)
-    return found.withColumn(text_col, F.when(~F.col("_no_text"), F.col("kept"))).select(*docs.columns)
+    (missing,) = fresh(docs, "_no_text")
+    marked = docs.withColumn(missing, column(text_col).isNull())
+    # Carried as one column, so that their names cannot clash with those of results.
+    (row,) = fresh(marked, "_row")
+    marked = marked.select(column(id_col), column(text_col), F.struct(*[column(c) for c in (*others, missing)]).alias(row))
+    found = repeats(marked, id_col, text_col, (row,), as_text=True)
+    text = F.when(~column(row)[missing], F.col("kept"))
+    return found.select(*[text.alias(c) if c == text_col else column(row)[c].alias(c) for c in docs.columns])
 
 
 def op6_prefix_free_parsing(spark, sf_dir: str) -> DataFrame:
