@@ -39,7 +39,7 @@ MIN_WORDS, WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper")
 FEATURES = ("log_words", "word_length", "symbols", "dup_lines", "repeats", "upper")
 #: Least standard deviation of each feature: below it, differences are no sign of bad text.
-FLOORS = (0.5, 0.25, 0.07, 0.25, 0.25, 0.1)
+FLOORS = (1.0, 0.25, 0.07, 0.25, 0.25, 0.1)
 SHARE, STEPS, TAIL = 0.75, 6, 1e-7
 #: Groups with fewer rows are judged with the other small ones of their language, then of all.
 MIN_ROWS = 200
