@@ -25,7 +25,8 @@ def escape(text: Column) -> Column:
 
 
 def escape_role(role: Column) -> Column:
-    return F.replace(escape(role), F.lit(":"), F.lit("\\:"))
+    """Line breaks get a backslash too, so the first colon at a line's end closes the head."""
+    return F.replace(escape(role), F.lit("\n"), F.lit("\\\n"))
 
 
 def unescape(text: Column) -> Column:
@@ -176,6 +177,6 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(4 + length(replace(erole, ':', '\:')) + 2 + length(etext) + 9) AS BIGINT) AS formatted_chars
+  CAST(sum(4 + length(replace(erole, chr(10), '\' || chr(10))) + 2 + length(etext) + 9) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """

@@ -101,7 +101,7 @@ def parse(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
             stop += 1
         if size > 2 * PARSE_BYTES:
             yield _parse_long(start, texts[start])
-        elif size >= LENGTH:
+        elif max(map(len, texts[start:stop])) >= LENGTH:
             yield _parse_short(start, texts[start:stop])
         start = stop
 
