@@ -149,10 +149,13 @@ def correlation_matrix(
     column does not vary.
     """
     cols = present(df, columns)
-    diagonal = pearson_pairs(df, [(c, c) for c in cols]).withColumn(
-        "correlation", F.when(F.col("correlation").isNotNull(), 1.0)
-    )
-    long = diagonal if len(cols) < 2 else correlation_pairs(df, cols, method).unionByName(diagonal)
+    themselves, others = [(c, c) for c in cols], list(combinations(cols, 2))
+    if method == "pearson" or not others:  # one aggregate for all cells
+        long = pearson_pairs(df, [*others, *themselves])
+    else:
+        long = _METHODS[method](df, others).unionByName(pearson_pairs(df, themselves))
+    own = F.col("variable_1") == F.col("variable_2")
+    long = long.withColumn("correlation", F.when(own & F.col("correlation").isNotNull(), 1.0).otherwise(F.col("correlation")))
     both_ways = long.select(
         F.inline(
             F.array(

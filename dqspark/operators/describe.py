@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from dqspark import fixed
 from dqspark.functions import numbers
-from dqspark.operators.ranks import long_numbers, modes, quantiles, scalar_struct, value_counts
+from dqspark.operators.ranks import (
+    long_numbers,
+    modes,
+    quantiles,
+    quantiles_of_slices,
+    scalar_struct,
+    slices,
+    value_counts,
+)
 
 
 def present(df: DataFrame, columns: Sequence[str] | None, default=fixed.NUMERIC_COLUMNS) -> list[str]:
@@ -24,13 +32,13 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     """One row of statistics per column; columns without a value are left out.
 
     Moments come from one aggregate over the source, order statistics and mode
-    from the value counts. Skewness and excess kurtosis are population values.
+    from one staged table of value counts. Skewness and excess kurtosis are population values.
     """
     cols = present(df, columns)
     probs = [p / 100 for p in fixed.PERCENTILES]
-    order = scalar_struct(quantiles(df, cols, probs), cols, {"q": F.col("q")})
-    most = modes(value_counts(long_numbers(df, cols), ["column"]), ["column"])
-    mode = scalar_struct(most, cols, {"mode": F.col("mode")})
+    sliced, totals = slices(value_counts(long_numbers(df, cols), ["column"]), ["column"])
+    order = scalar_struct(quantiles_of_slices(sliced, totals, ["column"], probs), cols, {"q": F.col("q")})
+    mode = scalar_struct(modes(sliced, ["column"]), cols, {"mode": F.col("mode")})
     numbers_only = df.select(*[numbers.numeric(df, c).alias(c) for c in cols])
     moments = numbers_only.agg(*[a.alias(f"{c}_{name}") for c in cols for name, a in _moments(c).items()])
 

@@ -1,4 +1,6 @@
-"""Hypothesis tests as aggregates: a test is one result row, and stays lazy.
+"""Hypothesis tests as aggregates: a test is one result row.
+
+Tests on ranks stage the table of value counts when they are built.
 
 ``*_stats`` functions give the unrounded numbers behind a test; the ``*_test``
 functions put them into the common report row (statistic to 4, p to 6 decimals).
@@ -15,11 +17,8 @@ from pyspark.sql import functions as F
 from dqspark import fixed
 from dqspark.functions.numbers import numeric
 from dqspark.operators import corr
-from dqspark.operators.ranks import average_ranks, long_numbers, quantile_table, value_counts
-from dqspark.operators.tails import EXACT_PAIRS, beta_tail, normal_tail, rank_sum_tail
-
-#: Smaller sample size up to which the exact rank-sum distribution applies.
-EXACT_SAMPLE = 8
+from dqspark.operators.ranks import average_ranks, quantile_table
+from dqspark.operators.tails import EXACT_SAMPLE, beta_tail, normal_tail, rank_sum_tail
 
 
 def _verdict(stats: DataFrame, texts: dict[str, Column], alpha: float) -> DataFrame:
@@ -132,14 +131,17 @@ def welch_test(df: DataFrame, value: str, group: str, a, b, alpha: float = fixed
     return _verdict(welch_stats(df, value, group, a, b), _texts("welch", shown, value=value, a=a, b=b), alpha)
 
 
-def mann_whitney_stats(df: DataFrame, value: str, group: str, a, b) -> DataFrame:
+def mann_whitney_stats(df: DataFrame, value: str, group: str, a, b, method: str = "auto") -> DataFrame:
     """One row: sizes, medians, U of group ``a`` and the two-sided p.
 
-    Works on the table of distinct values, never on ranked rows. Without ties
-    and with a sample of at most EXACT_SAMPLE the exact distribution is used
-    (up to EXACT_PAIRS pairs), else the normal one with tie and continuity
-    corrections.
+    Works on the table of distinct values, never on ranked rows. ``auto`` takes
+    the exact distribution without ties and with a sample of at most
+    EXACT_SAMPLE, whatever the size of the other, else the normal one with tie
+    and continuity corrections. ``asymptotic`` always takes the normal one;
+    ``exact`` fails where the exact one does not apply.
     """
+    if method not in ("auto", "exact", "asymptotic"):
+        raise ValueError(f"unknown method {method!r}")
     rows = _two_groups(df, value, group, a, b)
     counts = (
         rows.groupBy(F.lit(value).alias("column"), "value")
@@ -159,12 +161,22 @@ def mann_whitney_stats(df: DataFrame, value: str, group: str, a, b) -> DataFrame
     with_u = sums.withColumn("statistic", u).withColumn("_spread", spread)
     larger = F.greatest(F.col("statistic"), na * nb - F.col("statistic"))
     z = F.try_divide(larger - na * nb / 2 - 0.5, F.col("_spread"))
-    exact = (F.least("n_a", "n_b") <= EXACT_SAMPLE) & (F.col("ties") == 0) & (na * nb <= EXACT_PAIRS)
-    p = F.when(exact, rank_sum_tail("statistic", "n_a", "n_b")).otherwise(
-        F.coalesce(F.least(normal_tail(z), F.lit(1.0)), F.lit(1.0))
+    exact = (F.least("n_a", "n_b") <= EXACT_SAMPLE) & (F.col("ties") == 0)
+    normal = F.coalesce(F.least(normal_tail(z), F.lit(1.0)), F.lit(1.0))
+    cannot = F.raise_error(F.lit(f"the exact distribution needs a sample of at most {EXACT_SAMPLE} and no ties"))
+    p = {
+        "auto": F.when(exact, rank_sum_tail("statistic", "n_a", "n_b")).otherwise(normal),
+        "exact": F.when(exact, rank_sum_tail("statistic", "n_a", "n_b")).otherwise(cannot.cast("double")),
+        "asymptotic": normal,
+    }[method]
+    sides = F.inline(
+        F.array(
+            F.struct(F.lit("a").alias("side"), F.col("in_a").alias("n")),
+            F.struct(F.lit("b").alias("side"), (F.col("n") - F.col("in_a")).alias("n")),
+        )
     )
-    labelled = rows.select(F.when(F.col("in_a"), "a").otherwise("b").alias("side"), "value")
-    medians = quantile_table(value_counts(labelled, ["side"]), ["side"], [0.5])
+    # The counts of both sides are in the staged table of the ranks.
+    medians = quantile_table(ranked.select("value", sides).where("n > 0"), ["side"], [0.5])
     folded = medians.groupBy().agg(
         F.struct(*[F.max(F.when(F.col("side") == s, F.col("q")[0])).alias(s) for s in "ab"]).alias("m")
     )

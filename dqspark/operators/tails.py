@@ -10,14 +10,19 @@ from __future__ import annotations
 
 import math
 import sys
+from fractions import Fraction
+from functools import cache
+from itertools import combinations
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: The exact Mann-Whitney distribution is used up to this many pairs.
-EXACT_PAIRS = 10_000
+#: Smaller sample size up to which the exact rank-sum distribution applies.
+EXACT_SAMPLE = 8
+#: Terms of the continued fraction; large shapes need many.
+MAX_TERMS = 5_000_000
 
 # Ship this module with the tasks: executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -40,7 +45,7 @@ def _fraction(a: float, b: float, x: float) -> float:
 
     c, d = 1.0, 1.0 / floor(1.0 - (a + b) * x / (a + 1.0))
     result = d
-    for m in range(1, 5_000_000):
+    for m in range(1, MAX_TERMS):
         for term in (
             m * (b - m) * x / ((a + 2 * m - 1.0) * (a + 2 * m)),
             -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1.0)),
@@ -49,8 +54,8 @@ def _fraction(a: float, b: float, x: float) -> float:
             c = floor(1.0 + term / c)
             result *= c * d
         if abs(c * d - 1.0) < 1e-15:
-            break
-    return result
+            return result
+    raise ArithmeticError(f"incomplete beta of {a}, {b}, {x} has not converged")
 
 
 def beta_tail_value(a: float, b: float, ratio: float) -> float:
@@ -69,16 +74,49 @@ def beta_tail_value(a: float, b: float, ratio: float) -> float:
     return 1.0 - front * _fraction(b, a, y) / b
 
 
+@cache
+def _period_counts(parts: int) -> tuple[int, ...]:
+    """Coefficients of (1 - q^P)^(parts + 1) / ((1 - q) (1 - q) (1 - q^2) ... (1 - q^parts)).
+
+    P is the least common multiple of 1 .. ``parts``, so this is a polynomial.
+    """
+    period, found = math.lcm(*range(1, parts + 1)), [1]
+    for step in (1, *range(1, parts + 1)):  # times 1 + q^step + q^(2 step) + ... below q^P
+        following = [0] * (len(found) + period - step)
+        for k in range(len(following)):
+            here = found[k] if k < len(found) else 0
+            gone = found[k - period] if 0 <= k - period < len(found) else 0
+            following[k] = (following[k - step] if k >= step else 0) + here - gone
+        found = following
+    return tuple(found)
+
+
+def _partitions_up_to(total: int, parts: int) -> int:
+    """Partitions of 0 .. ``total`` into at most ``parts`` parts, whatever the size of ``total``."""
+    if total < 0:
+        return 0
+    period, found = math.lcm(*range(1, parts + 1)), _period_counts(parts)
+    first, last = total % period, min(total, len(found) - 1)
+    return sum(found[j] * math.comb((total - j) // period + parts, parts) for j in range(first, last + 1, period))
+
+
 def rank_sum_tail_value(u: float, n1: int, n2: int) -> float:
-    """Two-sided p of the exact distribution of U for samples without ties."""
-    ways = [1] + [0] * (n1 * n2)
-    for i in range(1, n1 + 1):  # product of (1 - q^(n2+i)) / (1 - q^i)
-        for k in range(n1 * n2, n2 + i - 1, -1):
-            ways[k] -= ways[k - n2 - i]
-        for k in range(i, n1 * n2 + 1):
-            ways[k] += ways[k - i]
-    top = int(math.ceil(max(u, n1 * n2 - u)))
-    return min(1.0, 2.0 * sum(ways[top:]) / sum(ways))
+    """Two-sided p of the exact distribution of U for samples without ties.
+
+    Arrangements with U up to a bound are partitions into at most ``small``
+    parts of at most ``large``; those with larger parts are taken out by
+    inclusion and exclusion. The smaller sample has at most EXACT_SAMPLE values,
+    the other may be of any size.
+    """
+    small, large = sorted((n1, n2))
+    if not 0 < small <= EXACT_SAMPLE:
+        raise ValueError(f"exact for a sample of 1 to {EXACT_SAMPLE}, not {small}")
+    bound = n1 * n2 - math.ceil(max(u, n1 * n2 - u))
+    count = 0
+    for size in range(small + 1):
+        for chosen in combinations(range(1, small + 1), size):
+            count += (-1) ** size * _partitions_up_to(bound - sum(large + i for i in chosen), small)
+    return float(min(Fraction(1), Fraction(2 * count, math.comb(small + large, small))))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -97,10 +135,10 @@ def normal_tail(z: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.DoubleType())
 def rank_sum_tail(u: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
-    """Exact p where the samples are small enough, else missing."""
+    """Exact p where one sample is small enough, else missing."""
     return pd.Series(
         [
-            None if pd.isna([x, p, q]).any() or p * q > EXACT_PAIRS else rank_sum_tail_value(x, int(p), int(q))
+            None if pd.isna([x, p, q]).any() or not 0 < min(p, q) <= EXACT_SAMPLE else rank_sum_tail_value(x, int(p), int(q))
             for x, p, q in zip(u, n1, n2)
         ],
         dtype="float64",
