@@ -1,7 +1,6 @@
 """Headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
-Keys ending in ``_sliced`` force the distributed way of order statistics, which
-large inputs take by themselves.
+Each time is the median of $BENCH_RUNS runs (3).
 """
 
 from __future__ import annotations
@@ -11,11 +10,12 @@ import os
 import sys
 import time
 from pathlib import Path
+from statistics import median
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from checks.queries import QUERIES  # noqa: E402
-from dqspark.session import ONE_TASK_BYTES, ONE_TASK_CONF, get_spark, release_staged  # noqa: E402
+from dqspark.session import Scratch, get_spark  # noqa: E402
 
 HEADLINE = (
     "clean_text", "strip_accents", "parse_money", "std_state", "clean_email", "parse_dates",
@@ -26,7 +26,6 @@ HEADLINE = (
     "test_mann_whitney", "test_anova", "test_battery", "histogram", "kde_grid", "boxplot_stats",
     "scatter_bins", "fuzzy_duplicates", "fuzzy_part_names",
 )
-SLICED = ("quantiles", "avg_rank", "corr_spearman", "customer_segments")
 
 
 def main() -> None:
@@ -46,16 +45,14 @@ def main() -> None:
 
     def timed(name: str) -> float:
         start = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        return round(time.perf_counter() - start, 3)
+        with Scratch(spark):
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
 
     for name in ("std_state", "quantiles", "test_welch_t"):  # warm the JVM and the Python workers
         timed(name)
-    seconds = {name: timed(name) for name in HEADLINE}
-    spark.conf.set(ONE_TASK_CONF, "0")
-    seconds |= {f"{name}_sliced": timed(name) for name in SLICED}
-    spark.conf.set(ONE_TASK_CONF, str(ONE_TASK_BYTES))
-    release_staged(spark)
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    seconds = {name: round(median(timed(name) for _ in range(runs)), 3) for name in HEADLINE}
     print(
         json.dumps(
             {

@@ -9,6 +9,7 @@ from dqspark import fixed
 from dqspark.functions import numbers
 from dqspark.operators.ranks import long_numbers, quantile_table, quantiles, scalar_struct, value_counts
 from dqspark.operators.skew import spread_join
+from dqspark.session import stage
 
 
 def _medians(df: DataFrame, columns):
@@ -36,14 +37,16 @@ def impute_group_median(df: DataFrame, column: str = "income", group: str = "sta
         return df
     if group not in df.columns:
         return impute_global_median(df, [column])
-    counts = value_counts(long_numbers(df, [column], [group]).where(F.col(group).isNotNull()), [group])
-    by_group = quantile_table(counts, [group], [0.5])
-    total = df.agg(F.count("*").alias("n")).scalar()
+    # One scan: the counts of the groups add up to those of the column.
+    counts = stage(value_counts(long_numbers(df, [column], [group]), [group, "column"]))
+    by_group = quantile_table(counts.where(F.col(group).isNotNull()).drop("column"), [group], [0.5])
+    overall = quantile_table(counts.groupBy("column", "value").agg(F.sum("n").alias("n")), ["column"], [0.5])
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).scalar()
     medians = by_group.withColumn("_median", F.col("q")[0])
     joined = spread_join(df, medians, [group], ["_median"], F.col("total"), total)
     filled = F.coalesce(numbers.numeric(df, column), F.col("_median"), F.col("_all")[column]["median"])
     return (
-        joined.withColumn("_all", _medians(df, [column]))
+        joined.withColumn("_all", scalar_struct(overall, [column], {"median": F.col("q")[0]}))
         .withColumn(column, filled)
         .drop("_median", "_all")
     )

@@ -2,11 +2,13 @@
 
 All of them start from *value counts* ``(keys..., value, n)``: duplicates are
 combined before the shuffle, so a value that fills a third of the table is one
-row. Small inputs are finished by one reducer per group. Larger ones are cut
-into slices by a range partitioning over (keys, value); a hot group simply
-spans many slices. The running position inside a slice plus the total of the
-earlier slices is the global position, and no task ever holds a whole group.
-Quantiles of a whole large table need not even that, see ``quantiles``.
+row. They are cut into slices by a range partitioning over (keys, value); a hot
+group simply spans many slices. The running position inside a slice plus the
+total of the earlier slices is the global position, and no task ever holds a
+whole group. Quantiles of a whole table need not even that, see ``quantiles``.
+
+Slices are staged and brackets sampled when a frame is built, so building one
+runs Spark jobs; only its rows are lazy.
 """
 
 from __future__ import annotations
@@ -20,9 +22,9 @@ from pyspark.sql import functions as F
 
 from dqspark.functions.numbers import numeric
 from dqspark.operators.skew import spread_join
-from dqspark.session import fits_one_task, stage
+from dqspark.session import stage
 
-#: Rows sampled to bracket the quantiles of a large table, and how many standard
+#: Rows sampled to bracket the quantiles of a table, and how many standard
 #: deviations of a sample quantile a bracket reaches to either side.
 SAMPLE_ROWS = 200_000
 SAMPLE_DEVIATIONS = 5
@@ -50,7 +52,7 @@ def modes(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counts.groupBy(*keys).agg(best["value"].alias("mode"))
 
 
-def _slices(counts: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def slices(counts: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Range-partitioned counts with their slice number, and one row per slice.
 
     The slice number is a partition id, so the table is staged before it is
@@ -77,17 +79,9 @@ def _running(keys: Sequence[str]) -> Column:
     return F.coalesce(F.sum("n").over(before), F.lit(0))
 
 
-def _positions_in_one_task(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # Both frames share one sort; it spills when a group is larger than memory.
-    whole = W.partitionBy(*keys).orderBy("value").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    return counts.withColumn("before", _running(keys)).withColumn("total", F.sum("n").over(whole))
-
-
 def positions(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add ``before`` (rows of the group with a smaller value) and ``total``."""
-    if fits_one_task(counts):
-        return _positions_in_one_task(counts, keys)
-    sliced, totals = _slices(counts, keys)
+    sliced, totals = slices(counts, keys)
     return (
         sliced.join(totals.drop("slice_n"), [*keys, "slice"])
         .withColumn("before", F.col("slice_before") + _running([*keys, "slice"]))
@@ -104,26 +98,24 @@ def _covers(rank: Column) -> Column:
     return (rank >= F.col("before")) & (rank < F.col("before") + F.col("n"))
 
 
-def _ends(counts: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+def _ends(sliced: DataFrame, totals: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """``(keys..., total, _low0.., _high0..)``: the values around each quantile."""
     place = [F.lit(float(p)) * (F.col("total") - 1) for p in probs]
     low, high = [F.floor(x) for x in place], [F.ceil(x) for x in place]
-    if fits_one_task(counts):
-        placed = _positions_in_one_task(counts, keys)
-    else:
-        sliced, totals = _slices(counts, keys)
-        # Only the slices that hold a wanted rank are read again.
-        start, size = F.col("slice_before"), F.col("slice_n")
-        wanted = F.exists(F.array(*low, *high), lambda r: (r >= start) & (r < start + size))
-        placed = sliced.join(totals.where(wanted), [*keys, "slice"]).withColumn(
-            "before", start + _running([*keys, "slice"])
-        )
+    # Only the slices that hold a wanted rank are read again.
+    start, size = F.col("slice_before"), F.col("slice_n")
+    wanted = F.exists(F.array(*low, *high), lambda r: (r >= start) & (r < start + size))
+    placed = sliced.join(totals.where(wanted), [*keys, "slice"]).withColumn(
+        "before", start + _running([*keys, "slice"])
+    )
     return _pick(placed, keys, low, high)
 
 
-def _ends_in_one_task(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
+def _ends_of_sample(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """Like ``_ends`` for a column's sample, which SAMPLE_ROWS bounds."""
     place = [F.lit(float(p)) * (F.col("total") - 1) for p in probs]
-    placed = _positions_in_one_task(counts, ["column"])
+    whole = W.partitionBy("column").orderBy("value").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    placed = counts.withColumn("before", _running(["column"])).withColumn("total", F.sum("n").over(whole))
     return _pick(placed, ["column"], [F.floor(x) for x in place], [F.ceil(x) for x in place])
 
 
@@ -145,7 +137,14 @@ def _interpolated(ends: DataFrame, keys: Sequence[str], probs: Sequence[float])
 
 def quantile_table(counts: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Exact, linearly interpolated quantiles: ``(keys..., total, q array)``."""
-    return _interpolated(_ends(counts, keys, probs), keys, probs)
+    return quantiles_of_slices(*slices(counts, keys), keys, probs)
+
+
+def quantiles_of_slices(
+    sliced: DataFrame, totals: DataFrame, keys: Sequence[str], probs: Sequence[float]
+) -> DataFrame:
+    """``quantile_table`` of counts that are sliced already."""
+    return _interpolated(_ends(sliced, totals, keys, probs), keys, probs)
 
 
 def quantiles(
@@ -153,13 +152,13 @@ def quantiles(
 ) -> DataFrame:
     """Quantiles of several columns at once: ``(by..., column, total, q array)``.
 
-    Over a whole large table a sample tells where each quantile roughly lies.
+    Over a whole table a sample tells where each quantile roughly lies.
     The values inside these brackets keep their identity, all others are only
     counted, so that next to nothing is shuffled. The result is checked to lie
     inside its bracket, which makes it exact; else the full way is taken.
     """
     keys = [*by, "column"]
-    if not by and not fits_one_task(df):
+    if not by:
         found = _bracketed(df, columns, probs)
         if found is not None:
             return found
@@ -171,8 +170,7 @@ def _bracketed(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) ->
     if set(brackets) != set(columns):
         return None
     coarse = df.select(*[_coarse(numeric(df, c), brackets[c]).alias(c) for c in columns])
-    counts = stage(value_counts(long_numbers(coarse, columns), ["column"]))
-    ends = _ends(counts, ["column"], probs)
+    ends = _ends(*slices(value_counts(long_numbers(coarse, columns), ["column"]), ["column"]), ["column"], probs)
     rows = ends.collect()  # one row per column
     inside = all(
         any(low <= value <= high for low, high in brackets[row["column"]])
@@ -194,7 +192,7 @@ def _brackets(
     margin = SAMPLE_DEVIATIONS * 0.5 / math.sqrt(SAMPLE_ROWS)
     edges = [edge for p in sorted(probs) for edge in (max(p - margin, 0.0), min(p + margin, 1.0))]
     counts = value_counts(long_numbers(df.sample(share, seed=17), columns), ["column"])
-    table = _interpolated(_ends_in_one_task(counts, edges), ["column"], edges)
+    table = _interpolated(_ends_of_sample(counts, edges), ["column"], edges)
     brackets = {}
     for row in table.collect():  # one row per column
         spans = [

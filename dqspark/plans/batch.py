@@ -23,7 +23,7 @@ from dqspark.operators import (
     segments,
 )
 from dqspark.plans.customers import clean_customers, deduplicate_customers, finish_customers, type_customers
-from dqspark.session import get_spark, release_staged, stage
+from dqspark.session import Scratch, get_spark, stage
 from dqspark.sources import csv
 
 
@@ -68,6 +68,11 @@ def run(spark: SparkSession, source: str, target: str, with_charts: bool = True)
     once each as columnar tables, because many reports read them. Everything
     else is a single small aggregation.
     """
+    with Scratch(spark):  # staged tables go even if the job fails
+        return _run(spark, source, target, with_charts)
+
+
+def _run(spark: SparkSession, source: str, target: str, with_charts: bool) -> dict[str, str]:
     raw = stage(csv.load_raw(spark, source))
     typed = type_customers(raw)
     cleaned = stage(clean_customers(raw, check_age=False))
@@ -92,7 +97,6 @@ def run(spark: SparkSession, source: str, target: str, with_charts: bool = True)
     for name, df in {**data, **reports}.items():
         written[name] = f"{target.rstrip('/')}/{name}"
         csv.save_frame(df, written[name], single_file=name in reports)
-    release_staged(spark)
     return written
 
 

@@ -1,22 +1,24 @@
-"""Spark session, shared scratch tables and the size check used by operators."""
+"""Spark session and shared scratch tables."""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Inputs up to this many bytes may be finished by one reducer per group.
-ONE_TASK_BYTES = 16 * 1024 * 1024
-ONE_TASK_CONF = "spark.dqspark.oneTaskBytes"
+#: Input bytes that one shuffle partition should stand for.
+PARTITION_BYTES = 128 * 1024 * 1024
 
 
-def get_spark(app: str = "dqspark", **conf: str) -> SparkSession:
+def get_spark(app: str = "dqspark", input_bytes: int | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators are designed for.
 
-    Partition sizing is left to adaptive execution: shuffles start with many
-    partitions and are coalesced at run time, skewed joins are split.
+    Adaptive execution coalesces partitions and splits skewed joins at run
+    time. It can only merge what a shuffle has made, so ``input_bytes``, the
+    size of the largest input, sets how many partitions a shuffle starts with.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -28,6 +30,8 @@ def get_spark(app: str = "dqspark", **conf: str) -> SparkSession:
         # No Python call sites per Column: halves the time to build long reports.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
+    if input_bytes is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(max(200, -(-input_bytes // PARTITION_BYTES))))
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -36,8 +40,8 @@ def get_spark(app: str = "dqspark", **conf: str) -> SparkSession:
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for staged tables: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session may fall back to a folder of its own; on a cluster a
-    machine-local folder would not be readable by the other executors.
+    Only a local session without that setting gets a folder of its own; on a
+    cluster a machine-local folder would not be readable by the other executors.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
@@ -48,7 +52,39 @@ def scratch_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-_staged: list[str] = []
+class Scratch:
+    """Owner of the tables staged while it is active; leaving it deletes those, and only those.
+
+    ``with Scratch(spark): ...`` around a job that builds its frames and writes
+    its results inside. Scopes nest: a table belongs to the innermost one.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+        self._before = None
+
+    def __enter__(self) -> Scratch:
+        self._before = _active.set(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _active.reset(self._before)
+        self.release()
+
+    def path(self) -> str:
+        self.paths.append(f"{scratch_dir(self.spark).rstrip('/')}/dqspark-{uuid.uuid4().hex}")
+        return self.paths[-1]
+
+    def release(self) -> None:
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        while self.paths:
+            path = hadoop.Path(self.paths.pop())
+            path.getFileSystem(conf).delete(path, True)
+
+
+_active: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -56,33 +92,23 @@ def stage(df: DataFrame) -> DataFrame:
 
     Cuts the lineage with a durable Parquet table: it survives lost executors,
     pins values that a re-run could change (partition ids), stays columnar, and
-    has a true size, so joins on it are planned from facts.
+    has a true size, so joins on it are planned from facts. The table lives as
+    long as the active ``Scratch``; without one, as a lazy result may still read
+    it, until the driver's Python ends.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark).rstrip('/')}/dqspark-{uuid.uuid4().hex}"
+    owner = _active.get()
+    if owner is None:
+        owner = Scratch(spark)
+        atexit.register(_release_if_alive, owner)
+    path = owner.path()
     df.write.parquet(path)
-    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_staged(spark: SparkSession) -> int:
-    """Delete the tables staged by this process; returns how many there were."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    count = len(_staged)
-    while _staged:
-        path = hadoop.Path(_staged.pop())
-        path.getFileSystem(conf).delete(path, True)
-    return count
-
-
-def scan_bytes(df: DataFrame) -> int:
-    """Upper estimate of the bytes ``df`` reads: the sizes of its leaf relations."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-
-
-def fits_one_task(df: DataFrame) -> bool:
-    """True when all of ``df`` may safely meet in one reducer."""
-    limit = int(df.sparkSession.conf.get(ONE_TASK_CONF, str(ONE_TASK_BYTES)))
-    return scan_bytes(df) <= limit
+def _release_if_alive(owner: Scratch) -> None:
+    try:
+        if not owner.spark.sparkContext._jsc.sc().isStopped():
+            owner.release()
+    except Exception:  # the session is gone, and with it the way to its folder
+        return

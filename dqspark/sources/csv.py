@@ -29,12 +29,14 @@ def null_tokens(df: DataFrame, tokens=NA_TOKENS) -> DataFrame:
     )
 
 
-def load_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def load_raw(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Raw CSV: every column as text, missing tokens as NULL.
 
     The header line alone gives the schema, so nothing is read for inference.
-    ``multi_line`` allows line breaks inside quotes, at the price that one file
-    is read by one task; leave it off for large inputs.
+    Line breaks inside quotes belong to the field, so one file is read by one
+    task; stage the result once (``session.stage``) before much work is done on
+    it. For large files known to have no such breaks, ``multi_line=False`` lets
+    many tasks share a file.
     """
     reader = (
         spark.read.option("header", True)
@@ -49,14 +51,11 @@ def load_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFr
 def load_processed(spark: SparkSession, path: str, file_format: str = "csv") -> DataFrame:
     """Processed customers with their declared types."""
     if file_format == "parquet":
-        return spark.read.schema(PROCESSED_SCHEMA).parquet(path)
-    return (
-        spark.read.schema(PROCESSED_SCHEMA)
-        .option("header", True)
-        .option("escape", '"')
-        .option("dateFormat", "yyyy-MM-dd")
-        .csv(path)
-    )
+        return null_tokens(spark.read.schema(PROCESSED_SCHEMA).parquet(path))
+    # Read as text first: a missing token in a number must not spoil its row.
+    wanted = T.StructType.fromDDL(PROCESSED_SCHEMA)
+    raw = load_raw(spark, path)
+    return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted])
 
 
 def save_frame(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -65,7 +64,8 @@ def save_frame(df: DataFrame, path: str, single_file: bool = False) -> None:
     ``single_file`` is for reports of a few rows; data keeps its partitions.
     Text is written as it is: no trimming, missing as an empty field.
     """
-    out = df.coalesce(1) if single_file else df
+    # A shuffle, unlike coalesce, leaves the report's own last stage to many tasks.
+    out = df.repartition(1) if single_file else df
     (
         out.write.mode("overwrite")
         .option("header", True)

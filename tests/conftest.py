@@ -7,18 +7,18 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from dqspark.session import ONE_TASK_BYTES, ONE_TASK_CONF, get_spark  # noqa: E402
+from dqspark.session import get_spark  # noqa: E402
 
 RAW_COLUMNS = [
     "Customer ID", "Customer Name", "Email", "Age", "Gender", "City", "State", "Signup Date",
     "Income", "Purchase Count", "Total Spent", "Satisfaction Score",
 ]
 RAW_ROWS = [
-    ("CUST000001", "JOÃO SILVA", "JOAO@EMAIL.COM", "30", "M", "São Paulo", "SP", "2024-01-10", "4500", "5", "1200", "4.5"),
-    ("CUST000002", "joao silva", " joao@email.com", "30", "male", None, "sp", "10/01/2024", "R$ 4.500,00", "5", "1200", "4.5"),
-    ("CUST000003", "Maria Souza", "maria@EMAIL.com", "-5", "F", "Rio de Janeiro", "Rio de Janeiro", "2024/02/15", "5.200", "3", "900", "3.0"),
-    ("CUST000004", "  Pedro   Alves  ", "pedro@email.com", "150", "Fem", "Curitiba", "pr", "15-03-2024", "R$ 3.100,00", "10", "R$ 5.000,00", None),
-    ("CUST000001", "JOÃO SILVA", "JOAO@EMAIL.COM", "30", "M", "São Paulo", "SP", "2024-01-10", "4500", "5", "1200", "4.5"),
+    ("K-1", "BENTO PRADO", "BENTO@CORREIO.COM", "41", "M", "Campinas", "SP", "2023-05-09", "2750", "7", "830", "2.5"),
+    ("K-2", "Iara Nunes", " iara@correio.com", "17", "fem", "Niterói", "Rio de Janeiro", "2023/08/21", "7.900", "4", "R$ 2.040,00", "4.0"),
+    ("K-3", "bento  prado ", "bento@correio.com", "41", "Masc", None, "sp", "09/05/2023", "R$ 2.750,00", "7", "830", "2.5"),
+    ("K-1", "BENTO PRADO", "BENTO@CORREIO.COM", "41", "M", "Campinas", "SP", "2023-05-09", "2750", "7", "830", "2.5"),
+    ("K-4", "  Caio   Teles", "caio@correio.com", "203", "male", "Londrina", "pr", "30-11-2023", "R$ 1.480,00", "9", "615", None),
 ]
 CLEAN_SCHEMA = (
     "customer_id string, customer_name string, email string, email_valido boolean, age double, gender string, "
@@ -26,10 +26,10 @@ CLEAN_SCHEMA = (
     "satisfaction_score double"
 )
 CLEAN_ROWS = [
-    ("CUST000001", "João Silva", "joao@email.com", True, 30.0, "masculino", "São Paulo", "SP", "2024-01-10", 4500.0, 5, 1200.0, 4.5),
-    ("CUST000002", "Maria Souza", "maria@email.com", True, 45.0, "feminino", "Rio de Janeiro", "RJ", "2024-02-15", 5200.0, 3, 900.0, 3.0),
-    ("CUST000003", "Pedro Alves", "pedro@email.com", True, 29.0, "masculino", "Curitiba", "PR", "2024-03-15", 3100.0, 10, 5000.0, 4.0),
-    ("CUST000004", "Ana Lima", "ana@email.com", True, 60.0, "feminino", "unknown", "SP", "2024-04-01", 6000.0, 2, 300.0, 5.0),
+    ("K-1", "Bento Prado", "bento@correio.com", True, 41.0, "masculino", "Campinas", "SP", "2023-05-09", 2750.0, 7, 830.0, 2.5),
+    ("K-2", "Iara Nunes", "iara@correio.com", True, 26.0, "feminino", "Niterói", "RJ", "2023-08-21", 7900.0, 4, 2040.0, 4.0),
+    ("K-3", "Caio Teles", "caio@correio.com", True, 58.0, "masculino", "unknown", "PR", "2023-11-30", 1480.0, 9, 615.0, 3.5),
+    ("K-4", "Lia Moraes", "lia@correio.com", True, 72.0, "feminino", "Santos", "SP", "2024-02-17", 5120.0, 1, 95.0, 4.5),
 ]
 
 
@@ -64,21 +64,6 @@ def clean(spark):
     return spark.createDataFrame(rows, CLEAN_SCHEMA)
 
 
-@pytest.fixture(params=["one task", "distributed"])
-def strategy(request, spark):
-    """Run a test both ways: small inputs in one task, and as large inputs run."""
-    spark.conf.set(ONE_TASK_CONF, "0" if request.param == "distributed" else str(ONE_TASK_BYTES))
-    yield request.param
-    spark.conf.set(ONE_TASK_CONF, str(ONE_TASK_BYTES))
-
-
-@pytest.fixture
-def distributed(spark):
-    spark.conf.set(ONE_TASK_CONF, "0")
-    yield
-    spark.conf.set(ONE_TASK_CONF, str(ONE_TASK_BYTES))
-
-
 def rows(df):
     return [tuple(r) for r in df.collect()]
 

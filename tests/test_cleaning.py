@@ -34,8 +34,8 @@ def test_spaces_are_trimmed_and_collapsed(spark):
 
 
 def test_title_case_after_any_uncased_character(spark):
-    got = values(spark, text.title_case, "JOÃO SILVA", "d'avila ana-maria", "o 3rd")
-    assert got == ["João Silva", "D'Avila Ana-Maria", "O 3Rd"]
+    got = values(spark, text.title_case, "ÍRIS FALCÃO", "d'avila ana-maria", "o 3rd")
+    assert got == ["Íris Falcão", "D'Avila Ana-Maria", "O 3Rd"]
 
 
 @settings(max_examples=1, deadline=None)
@@ -48,7 +48,7 @@ def test_accents_are_stripped_as_by_decomposition(spark, samples):
 
 def test_gender_variants(raw, spark):
     done = ops.standardize_gender(ops.standardize_column_names(raw))
-    assert [r.gender for r in done.collect()] == ["masculino", "masculino", "feminino", "feminino", "masculino"]
+    assert [r.gender for r in done.collect()] == ["masculino", "feminino", "masculino", "masculino", "masculino"]
     odd = spark.createDataFrame([(1, "Não Binário"), (2, "xyz"), (3, None), (4, " N/I ")], "i int, gender string")
     assert [r.gender for r in ops.standardize_gender(odd).orderBy("i").collect()] == ["outro", "outro", None, "outro"]
 
@@ -73,7 +73,7 @@ def test_unmapped_values_are_audited(spark):
 
 def test_email_is_normalised_and_flagged(raw, spark):
     done = ops.clean_email(ops.standardize_column_names(raw))
-    assert [r.email for r in done.collect()].count("joao@email.com") == 3
+    assert [r.email for r in done.collect()].count("bento@correio.com") == 3
     assert all(r.email_valido for r in done.collect())
     odd = spark.createDataFrame([(1, "a@b"), (2, None), (3, "u@mail. com"), (4, "a@@b.c")], "i int, email string")
     assert [r.email_valido for r in ops.clean_email(odd).orderBy("i").collect()] == [False, False, True, False]
@@ -98,8 +98,8 @@ def test_plain_numbers(spark):
 
 def test_numeric_columns(raw, spark):
     done = ops.convert_numeric(ops.standardize_column_names(raw))
-    assert [r.income for r in done.collect()] == [4500.0, 4500.0, 5200.0, 3100.0, 4500.0]
-    assert done.collect()[3].total_spent == 5000.0
+    assert [r.income for r in done.collect()] == [2750.0, 7900.0, 2750.0, 2750.0, 1480.0]
+    assert done.collect()[1].total_spent == 2040.0
     types = dict(done.dtypes)
     assert (types["income"], types["purchase_count"], types["age"]) == ("double", "bigint", "double")
     halves = spark.createDataFrame([("0.5",), ("1.5",), ("2.5",), ("x",)], "purchase_count string")
@@ -126,13 +126,13 @@ def test_timestamps_keep_their_time(spark):
 
 def test_date_parts(raw):
     done = ops.convert_dates(ops.standardize_column_names(raw)).collect()
-    assert all(r.signup_date is not None and r.signup_date_year == 2024 for r in done)
-    assert (done[3].signup_date_month, done[3].signup_date_quarter, done[3].signup_date_weekday) == (3, 1, "Friday")
+    assert all(r.signup_date is not None and r.signup_date_year == 2023 for r in done)
+    assert (done[4].signup_date_month, done[4].signup_date_quarter, done[4].signup_date_weekday) == (11, 4, "Thursday")
 
 
 def test_ages_out_of_range_are_blanked_not_dropped(raw):
     typed = ops.convert_numeric(ops.standardize_column_names(raw))
-    assert [r.age for r in ops.validate_range(typed).collect()] == [30.0, 30.0, None, None, 30.0]
+    assert [r.age for r in ops.validate_range(typed).collect()] == [41.0, None, 41.0, 41.0, None]
     report = ops.range_report(typed).first()
     assert (report.regra, report.quantidade_invalida, report.percentual_invalido) == ("18 <= age <= 100", 2, 40.0)
 
@@ -149,8 +149,8 @@ def test_absent_columns_are_skipped(spark):
 
 def test_whole_cleaning_chain(raw):
     done = clean_customers(raw).collect()
-    assert done[3].customer_name == "Pedro Alves" and done[3].gender == "feminino" and done[3].age is None
-    assert (done[1].income, done[1].signup_date) == (4500.0, date(2024, 1, 10))
+    assert done[4].customer_name == "Caio Teles" and done[4].gender == "masculino" and done[4].age is None
+    assert (done[2].income, done[2].signup_date) == (2750.0, date(2023, 5, 9))
 
 
 def test_cleaning_runs_on_a_stream(spark, raw, tmp_path):

@@ -30,7 +30,7 @@ def test_no_key_duplicates_after_full_ones_are_gone(raw):
     assert dedup.key_duplicates(df).count() == 0
 
 
-def test_key_duplicates_with_hot_and_missing_keys(spark, strategy):
+def test_key_duplicates_with_hot_and_missing_keys(spark):
     data = [("hot", i) for i in range(300)] + [("one", 1), (None, 1), (None, 2), ("two", 1), ("two", 2)]
     df = spark.createDataFrame(data, "customer_id string, v int")
     found = rows(dedup.key_duplicates(df))

@@ -36,7 +36,7 @@ def table(spark, data):
     return df.withColumn("z", F.nanvl("z", F.lit(None)))
 
 
-def test_quantiles(table, data, strategy):
+def test_quantiles(table, data):
     probs = [0, 0.01, 1 / 3, 0.5, 0.95, 1]
     found = by(ranks.quantiles(table, ["x", "y", "z"], probs))
     for c in "xyz":
@@ -44,7 +44,7 @@ def test_quantiles(table, data, strategy):
         assert found[c]["total"] == data[c].count()
 
 
-def test_quantiles_from_a_real_sample(table, data, distributed, monkeypatch):
+def test_quantiles_from_a_real_sample(table, data, monkeypatch):
     monkeypatch.setattr(ranks, "SAMPLE_ROWS", 1500)
     probs = [0.25, 0.5, 0.75]
     assert ranks._bracketed(table, ["x", "y", "z"], probs) is not None
@@ -53,20 +53,20 @@ def test_quantiles_from_a_real_sample(table, data, distributed, monkeypatch):
         assert found[c]["q"] == pytest.approx(data[c].quantile(probs).tolist(), rel=1e-12)
 
 
-def test_wrong_brackets_are_noticed(table, data, distributed, monkeypatch):
+def test_wrong_brackets_are_noticed(table, data, monkeypatch):
     monkeypatch.setattr(ranks, "_brackets", lambda *a: {"x": [(0.0, 1.0)]})
     assert ranks._bracketed(table, ["x"], [0.5]) is None
     assert ranks.quantiles(table, ["x"], [0.5]).first().q == [data.x.median()]
 
 
-def test_quantiles_by_group(table, data, strategy):
+def test_quantiles_by_group(table, data):
     found = {(r.g, r.column): r.q for r in ranks.quantiles(table, ["x", "y"], [0.25, 0.5], ["g"]).collect()}
     for g, part in data.groupby("g"):
         for c in "xy":
             assert found[g, c] == pytest.approx(part[c].quantile([0.25, 0.5]).tolist(), rel=1e-12)
 
 
-def test_quantiles_of_nothing(spark, strategy):
+def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,), (None,)], "x double")
     assert rows(ranks.quantiles(df, ["x"], [0.5])) == []
 
@@ -80,24 +80,49 @@ def test_average_ranks_of_random_ties(spark, numbers):
     assert [r[1] for r in found] == series.rank().tolist()
 
 
-def test_average_ranks_with_a_hot_value(table, data, strategy):
+def test_average_ranks_with_a_hot_value(table, data):
     found = ranks.with_average_rank(table.select("x"), "x").distinct().toPandas().set_index("x").avg_rank
     expected = data.assign(r=data.x.rank()).groupby("x").r.first()
     assert len(found) == len(expected) and np.allclose(found.sort_index(), expected.sort_index())
 
 
-def test_spread_join_keeps_every_row(spark, strategy):
+def test_spread_join_keeps_every_row(spark):
     left = spark.range(5000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 400)).alias("k"), "id")
     left = left.union(spark.createDataFrame([(None, 1)], "k string, id long"))
     counts = left.groupBy("k").agg(F.count("*").alias("n"))
-    plain = spread_join(left, counts, ["k"], ["n"], F.col("n"), F.lit(5001))
-    safe = spread_join(left, counts, ["k"], ["n"], F.col("n"), F.lit(5001), null_safe=True)
+    plain = spread_join(left, counts, ["k"], ["n"], F.col("n"), F.lit(5001), rows_per_task=100)
+    safe = spread_join(left, counts, ["k"], ["n"], F.col("n"), F.lit(5001), null_safe=True, rows_per_task=100)
     assert plain.count() == safe.count() == 5001
     assert plain.where("n IS NULL").count() == 1 and safe.where("n IS NULL").count() == 0
     assert plain.where("k = 'hot'").agg(F.min("n"), F.count("*")).first() == (1667, 1667)
 
 
-def test_describe(table, data, strategy):
+@pytest.mark.parametrize("rows_per_task", [1000, 10**6])
+def test_spread_join_deals_hot_and_missing_keys_evenly(spark, rows_per_task):
+    """Half of the rows without a key, one key with 0.09 %, one with a tenth."""
+    n = 200_000
+    key = (
+        F.when(F.col("id") % 2 == 0, None)
+        .when(F.col("id") < 0.0018 * n, "warm")
+        .when((F.col("id") % 10 == 1) & (F.lit(rows_per_task) < n), "hot")
+        .otherwise(F.concat(F.lit("k"), F.col("id") % 5000))
+    )
+    left = spark.range(n).select(key.alias("k"), F.lit("same").alias("v"))
+    counts = left.groupBy("k").agg(F.count("*").alias("n"))
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        joined = spread_join(left, counts, ["k"], ["n"], F.col("n"), F.lit(n), rows_per_task=rows_per_task)
+        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == n and len(sizes) == 8 and max(sizes) <= 1.5 * n / 8
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_describe(table, data):
     found = by(describe.describe_numeric(table, ["x", "y", "z"]))
     for c in "xyz":
         s, f = data[c].dropna(), found[c]
@@ -131,7 +156,7 @@ def test_shape_labels(spark):
     assert found["c"]["assimetria"] == "aproximadamente simétrica"
 
 
-def test_outliers(table, data, strategy):
+def test_outliers(table, data):
     found = by(describe.outliers_iqr(table, ["x", "z"]))
     for c in "xz":
         q1, q3 = data[c].quantile([0.25, 0.75])
@@ -145,7 +170,7 @@ def test_outliers(table, data, strategy):
 # --- segments -------------------------------------------------------------------------
 
 
-def test_segments_keep_ties_together(spark, strategy):
+def test_segments_keep_ties_together(spark):
     df = spark.createDataFrame([(float(v),) for v in [1, 2, 2, 2, 2, 3, 9, 10, 11]] + [(None,)], "total_spent double")
     got = [r.customer_segment for r in segments.customer_segments(df).orderBy(F.col("total_spent").asc_nulls_last()).collect()]
     assert got == ["Low Value"] * 5 + ["Medium Value"] + ["High Value"] * 3 + [None]
@@ -176,7 +201,7 @@ def test_segment_axis_cap(spark):
 
 
 @pytest.mark.parametrize("method", ["pearson", "spearman"])
-def test_correlation_matrix(table, data, method, strategy):
+def test_correlation_matrix(table, data, method):
     found = by(corr.correlation_matrix(table, ["x", "y", "z"], method), "index")
 
     def expected(a, b):
@@ -265,7 +290,7 @@ def test_welch(table, data):
     assert hypothesis.welch_test(table, "x", "g", "a", "b").first().p_value == pytest.approx(t_p(t, df), abs=1e-6)
 
 
-def test_mann_whitney(table, data, strategy):
+def test_mann_whitney(table, data):
     a, b = (data.x[data.g == g] for g in ("hot", "a"))
     both = pd.concat([a, b])
     u = both.rank()[: len(a)].sum() - len(a) * (len(a) + 1) / 2
@@ -277,6 +302,28 @@ def test_mann_whitney(table, data, strategy):
     assert (found.median_a, found.median_b) == (a.median(), b.median())
 
 
+def test_the_larger_sample_may_be_of_any_size():
+    separated = [tails.rank_sum_tail_value(15, 5, n) for n in (1999, 2000, 2001, 10**5, 10**9)]
+    assert separated == sorted(separated, reverse=True) and separated[1] == pytest.approx(3.0372e-12, rel=1e-4)
+    assert tails.rank_sum_tail_value(4 * 10**6, 8, 10**6) == 1.0
+    # The normal distribution is close in the middle of large samples.
+    assert tails.rank_sum_tail_value(3e6, 8, 10**6) == pytest.approx(0.2207, abs=0.01)
+    with pytest.raises(ValueError):
+        tails.rank_sum_tail_value(50, 9, 20)
+
+
+def test_methods_of_mann_whitney(spark):
+    one = [(float(i), "a") for i in range(5)] + [(float(i), "b") for i in range(10, 2012)]
+    df = spark.createDataFrame(one, "v double, g string")
+    p = {m: hypothesis.mann_whitney_stats(df, "v", "g", "a", "b", m).first().p_value for m in ("auto", "exact", "asymptotic")}
+    assert p["auto"] == p["exact"] < 4e-12 and p["asymptotic"] > 1e-5
+    tied = df.withColumn("v", F.floor(F.col("v") / 2).cast("double"))
+    with pytest.raises(Exception, match="no ties"):
+        hypothesis.mann_whitney_stats(tied, "v", "g", "a", "b", "exact").collect()
+    with pytest.raises(ValueError):
+        hypothesis.mann_whitney_stats(df, "v", "g", "a", "b", "best")
+
+
 def test_mann_whitney_small_samples_are_exact(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", 3.0), ("b", 4.0), ("b", 5.0), ("b", 6.0)], "g string, v double")
     found = hypothesis.mann_whitney_stats(df, "v", "g", "a", "b").first()
@@ -307,7 +354,7 @@ def test_battery_runs_only_what_the_groups_allow(spark, clean):
 # --- chart data -----------------------------------------------------------------------------
 
 
-def test_histogram(table, data, strategy):
+def test_histogram(table, data):
     found = charts.histogram(table, "x", bins=10).toPandas()
     counts, edges = np.histogram(data.x, bins=10)
     assert found.row_count.tolist() == counts.tolist() and np.allclose(found.bin_start, edges[:-1])
@@ -329,7 +376,7 @@ def test_density(table, data):
     assert np.allclose(found.x, grid) and np.allclose(found.density, expected, rtol=1e-9, atol=1e-300)
 
 
-def test_boxplots(table, data, strategy):
+def test_boxplots(table, data):
     found = {r.g: r for r in charts.boxplot_stats(table, ["x"], by="g").collect()}
     for g, part in data.groupby("g"):
         q1, q3 = part.x.quantile([0.25, 0.75])
@@ -338,7 +385,7 @@ def test_boxplots(table, data, strategy):
     assert charts.boxplot_stats(table, ["x", "z"]).count() == 2
 
 
-def test_scatter_counts_every_complete_row(table, data, strategy):
+def test_scatter_counts_every_complete_row(table, data):
     plain = charts.scatter_bins(table, "x", "z", bins=8).toPandas()
     counts, _, _ = np.histogram2d(data.x[data.z.notna()], data.z.dropna(), bins=8)
     assert {(r.x_bin, r.y_bin): r.row_count for r in plain.itertuples()} == {
@@ -349,5 +396,5 @@ def test_scatter_counts_every_complete_row(table, data, strategy):
 
 
 def test_counts_per_month_and_state(clean):
-    assert [str(r.month) for r in charts.counts_per_month(clean).collect()] == ["2024-01-01", "2024-02-01", "2024-03-01", "2024-04-01"]
+    assert [str(r.month) for r in charts.counts_per_month(clean).collect()] == ["2023-05-01", "2023-08-01", "2023-11-01", "2024-02-01"]
     assert rows(charts.counts_per_state(clean, top_n=1)) == [("SP", 2)]
