@@ -139,9 +139,9 @@ def customers(step: str, body: str) -> str:
 
 
 SPENDING = """spending AS (
-  SELECT o_custkey AS customer_id, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS DOUBLE) AS total_spent,
-         count(*) AS purchase_count, any_value(c_acctbal) AS income, any_value(c_mktsegment) AS c_mktsegment
-  FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY o_custkey),
+  SELECT c_custkey AS customer_id, CAST(coalesce(sum(CAST(floor(o_totalprice) AS BIGINT)), 0) AS DOUBLE) AS total_spent,
+         count(o_custkey) AS purchase_count, any_value(c_acctbal) AS income, any_value(c_mktsegment) AS c_mktsegment
+  FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey),
 segmented AS (
   SELECT *, CASE WHEN total_spent <= quantile_cont(total_spent, 1/3) OVER () THEN 'Low Value'
                  WHEN total_spent <= quantile_cont(total_spent, 2/3) OVER () THEN 'Medium Value'
@@ -401,8 +401,9 @@ def fuzzy(source: str, id_column: str, column: str, threshold: float, before: st
     return f"""WITH RECURSIVE {before}records AS (
   SELECT {id_column} AS id, {column} AS name, {key(column)} AS norm FROM {source} WHERE {column} IS NOT NULL),
 keyed AS (SELECT id, name, left(norm, 1) AS block, {sorted_tokens('norm')} AS tokens FROM records),
+members AS (SELECT DISTINCT block, tokens, id FROM keyed),
 names AS (
-  SELECT block, tokens, count(*) AS records, min({{'i': id, 'n': name}}) AS lo, max({{'i': id, 'n': name}}) AS hi
+  SELECT block, tokens, count(DISTINCT id) AS records, min({{'i': id, 'n': name}}) AS lo, max({{'i': id, 'n': name}}) AS hi
   FROM keyed GROUP BY block, tokens),
 pairs AS (
   SELECT DISTINCT a.tokens AS x, b.tokens AS y FROM names a JOIN names b ON a.block = b.block AND a.tokens <> b.tokens
@@ -410,12 +411,29 @@ pairs AS (
 {LCS},
 found AS (
   SELECT a.block, a.tokens AS tokens_1, b.tokens AS tokens_2, a.lo AS r1, b.lo AS r2, a.records AS records_1,
-         b.records AS records_2, a.records * b.records AS record_pairs, score
-  FROM scored JOIN names a ON a.tokens = x JOIN names b ON b.tokens = y AND b.block = a.block WHERE score >= {threshold}
+         b.records AS records_2, c.n AS record_pairs, score
+  FROM scored JOIN names a ON a.tokens = x JOIN names b ON b.tokens = y AND b.block = a.block
+  JOIN (SELECT s.x AS tx, s.y AS ty, m.block AS bl, count(*) FILTER (m.id <> k.id) AS n FROM scored s
+        JOIN members m ON m.tokens = s.x JOIN members k ON k.tokens = s.y AND k.block = m.block
+        WHERE s.score >= {threshold} GROUP BY ALL) c ON tx = x AND ty = y AND bl = a.block
+  WHERE score >= {threshold}
   UNION ALL
   SELECT block, tokens, tokens, lo, hi, records, records, CAST(records * (records - 1) / 2 AS BIGINT), 100.0 FROM names WHERE records > 1)
 SELECT r1.i AS record_1, r2.i AS record_2, r1.n AS name_1, r2.n AS name_2, round(score, 2) AS similarity_score,
        true AS possible_duplicate, records_1, records_2, record_pairs, block, tokens_1, tokens_2 FROM found"""
 
 
+def fuzzy_records(source: str, id_column: str, column: str, threshold: float, wanted: str, before: str = "") -> str:
+    """Pairs of records (one name of each) behind the pairs of names that ``wanted`` picks."""
+    base = fuzzy(source, id_column, column, threshold, before)
+    return base[: base.rindex("SELECT r1.i AS record_1")].rstrip() + f""",
+spelled AS (SELECT block, tokens, id, min(name) AS name FROM keyed GROUP BY ALL),
+listed AS (
+  SELECT m.id AS i, k.id AS j, m.name AS p, k.name AS q, score FROM found f
+  JOIN spelled m ON m.block = f.block AND m.tokens = tokens_1 JOIN spelled k ON k.block = f.block AND k.tokens = tokens_2
+  WHERE ({wanted}) AND (m.id < k.id OR (tokens_1 <> tokens_2 AND m.id <> k.id)))
+SELECT least(i, j) AS record_1, greatest(i, j) AS record_2, CASE WHEN i < j THEN p ELSE q END AS name_1,
+       CASE WHEN i < j THEN q ELSE p END AS name_2, round(score, 2) AS similarity_score, true AS possible_duplicate FROM listed"""
+
+
 UNIQUE_PREFIX = f"{DIRTY},\n{CLEANED},\n{UNIQUE},\n"

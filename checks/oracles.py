@@ -24,6 +24,9 @@ def dirty(body: str) -> str:
 
 
 # --- scan, names, text -----------------------------------------------------------
+ORACLES["scan_csv"] = """SELECT CAST(p_partkey AS VARCHAR) AS key,
+  CASE p_partkey % 4 WHEN 0 THEN p_name || chr(10) || '"' || p_brand || '", x' WHEN 1 THEN ' ' || p_name || ', '
+                     WHEN 3 THEN p_name END AS name FROM part"""
 ORACLES["scan_na_tokens"] = f"""
 SELECT o_orderkey, CASE WHEN p NOT IN ({TOKENS}) THEN p END AS priority,
        CASE WHEN o_orderstatus NOT IN ({TOKENS}) THEN o_orderstatus END AS o_orderstatus
@@ -129,7 +132,7 @@ ORACLES["missing_summary"] = dirty("SELECT * FROM (" + o.union(
     f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS missing_count, {o.pct(f'(count(*) - count({c}))', 'count(*)')} AS missing_percentage FROM dirty"
     for c in o.CUSTOMER
 ) + ") WHERE missing_count > 0")
-ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 ORACLES["cardinality"] = o.union(
     f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS distinct_count FROM orders" for c in ORDER_COLUMNS
 )
@@ -147,7 +150,11 @@ def top_text(c: str) -> str:
     )
 
 
-ORACLES["describe_text"] = o.union(top_text(c) for c in ("l_returnflag", "l_linestatus", "l_quantity", "l_discount"))
+LINE_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+)
+ORACLES["describe_text"] = o.union(top_text(c) for c in LINE_COLUMNS)
 ORACLES["distinct_values"] = dirty("SELECT DISTINCT state AS value FROM dirty WHERE state IS NOT NULL")
 
 # --- duplicates --------------------------------------------------------------------
@@ -171,6 +178,11 @@ SELECT count(*) AS total_rows, count(*) - count(DISTINCT ({_ALL})) AS full_dupli
        count(*) - count(DISTINCT customer_id) AS rows_minus_keys
 FROM (SELECT *, count(*) OVER (PARTITION BY customer_id) AS k FROM dirty)""")
 ORACLES["fuzzy_duplicates"] = o.fuzzy("uniq", "customer_id", "customer_name", 90.0, o.UNIQUE_PREFIX)
+_REPEATED = f"{o.DIRTY},\n{o.CLEANED},\n"
+ORACLES["fuzzy_repeated_ids"] = o.fuzzy("cleaned", "customer_id", "customer_name", 90.0, _REPEATED)
+ORACLES["fuzzy_record_pairs"] = o.fuzzy_records(
+    "cleaned", "customer_id", "customer_name", 90.0, "f.block = 'p' AND tokens_1 LIKE '1%'", _REPEATED
+)
 ORACLES["fuzzy_part_names"] = o.fuzzy("part", "p_partkey", "p_name", 70.0)
 _SUMMARY = o.fuzzy("uniq", "customer_id", "customer_name", 90.0, o.UNIQUE_PREFIX)
 _STEPS = [
@@ -243,6 +255,19 @@ ORACLES["test_pearson"] = o.corr_test("lineitem", "l_quantity", "l_extendedprice
 ORACLES["test_spearman"] = o.corr_test("lineitem", "l_discount", "l_tax", "spearman")
 ORACLES["test_welch_t"] = o.welch("orders", "o_totalprice", "o_orderstatus", "F", "O")
 ORACLES["test_mann_whitney"] = o.mann_whitney("events", "value", "event_type", "click", "error")
+#: Ways to choose three of N ranks with a sum of at most S, counted pair by pair.
+ORACLES["test_mann_whitney_small"] = """WITH v AS (
+  SELECT CAST(CAST(round(o_totalprice * 100) AS BIGINT) * 1000000 + o_orderkey AS DOUBLE) AS value,
+         o_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 5000 = 1 ORDER BY 1 LIMIT 3) AS few FROM orders),
+r AS (SELECT value, few, row_number() OVER (ORDER BY value) AS k FROM v),
+u AS (SELECT count(*) FILTER (few) AS a, count(*) FILTER (NOT few) AS b, sum(k) FILTER (few) - 6 AS u, count(*) AS n,
+             median(value) FILTER (few) AS ma, median(value) FILTER (NOT few) AS mb FROM r),
+s AS (SELECT *, a * b - greatest(u, a * b - u) + 6 AS most FROM u),
+w AS (SELECT sum(greatest(0, least(n, most - i.i - j.i) - j.i)) AS ways
+      FROM s, range(1, (SELECT n + 1 FROM u)) i(i) JOIN range(1, (SELECT n + 1 FROM u)) j(i) ON j.i > i.i
+      WHERE i.i + 2 * j.i < most)
+SELECT a AS n_a, b AS n_b, ma AS median_a, mb AS median_b, CAST(u AS DOUBLE) AS statistic,
+       round(least(1.0, 12.0 * ways / (CAST(n AS DOUBLE) * (n - 1) * (n - 2))), 12) AS p_value FROM s, w"""
 ORACLES["test_anova"] = o.anova("orders", "o_totalprice", "o_orderpriority")
 ORACLES["test_battery"] = o.customers("done", o.union([
     o.corr_test("done", "income", "total_spent", "pearson"),

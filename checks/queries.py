@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,7 +32,7 @@ from dqspark.plans.customers import (
     finish_customers,
     type_customers,
 )
-from dqspark.session import stage
+from dqspark.session import scratch_dir, stage
 from dqspark.sources import csv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,7 +79,7 @@ def finished(spark: SparkSession, d: str) -> DataFrame:
 
 
 def spending(spark: SparkSession, d: str) -> DataFrame:
-    """Orders summed per customer, with the customer's attributes."""
+    """Orders summed per customer, with the customer's attributes; customers without orders have spent 0."""
     orders = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("customer_id")).agg(
         F.sum(F.floor("o_totalprice").cast("bigint")).cast("double").alias("total_spent"),
         F.count("*").alias("purchase_count"),
@@ -86,12 +87,27 @@ def spending(spark: SparkSession, d: str) -> DataFrame:
     customers = table(spark, d, "customer").select(
         F.col("c_custkey").alias("customer_id"), F.col("c_acctbal").alias("income"), "c_mktsegment"
     )
-    return orders.join(customers, "customer_id")
+    return customers.join(orders, "customer_id", "left").fillna({"total_spent": 0.0, "purchase_count": 0})
 
 
 # --- scan, names, text -----------------------------------------------------------
 
 
+@query
+def scan_csv(spark, d):
+    """Names with quotes, commas and line breaks, written as CSV and scanned."""
+    key = F.col("p_partkey")
+    name = (
+        F.when(key % 4 == 0, F.concat("p_name", F.lit('\n"'), "p_brand", F.lit('", x')))
+        .when(key % 4 == 1, F.concat(F.lit(" "), "p_name", F.lit(", ")))
+        .when(key % 4 == 2, F.lit("N/A"))
+        .otherwise(F.col("p_name"))
+    )
+    path = f"{scratch_dir(spark)}/scan-{uuid.uuid4().hex}"
+    csv.save_frame(table(spark, d, "part").select(key.cast("string").alias("key"), name.alias("name")), path)
+    return csv.load_raw(spark, path)
+
+
 @query
 def scan_na_tokens(spark, d):
     token = F.expr(
@@ -288,7 +304,7 @@ def missing_summary(spark, d):
 
 @query
 def cardinality(spark, d):
-    return profile.cardinality(table(spark, d, "orders").drop("o_orderdate"))
+    return profile.cardinality(table(spark, d, "orders"))
 
 
 @query
@@ -309,7 +325,7 @@ def yearly_counts(spark, d):
 
 @query
 def describe_text(spark, d):
-    return profile.describe_text(table(spark, d, "lineitem"), ["l_returnflag", "l_linestatus", "l_quantity", "l_discount"])
+    return profile.describe_text(table(spark, d, "lineitem"), table(spark, d, "lineitem").columns)
 
 
 @query
@@ -365,6 +381,19 @@ def fuzzy_duplicates(spark, d):
     return fuzzy.fuzzy_duplicates(unique(spark, d))
 
 
+@query
+def fuzzy_record_pairs(spark, d):
+    """Single records behind some similar names, in a table with repeated ids."""
+    people = cleaned(spark, d).select("customer_id", "customer_name")
+    pairs = fuzzy.fuzzy_duplicates(people).where((F.col("block") == "p") & F.col("tokens_1").startswith("1"))
+    return rounded(fuzzy.expand_record_pairs(pairs, people), 2)
+
+
+@query
+def fuzzy_repeated_ids(spark, d):
+    return fuzzy.fuzzy_duplicates(cleaned(spark, d))
+
+
 @query
 def fuzzy_part_names(spark, d):
     return fuzzy.fuzzy_duplicates(table(spark, d, "part"), "p_name", threshold=70.0, id_column="p_partkey")
@@ -491,6 +520,18 @@ def test_welch_t(spark, d):
     return hypothesis.welch_test(orders, "o_totalprice", "o_orderstatus", "F", "O")
 
 
+@query
+def test_mann_whitney_small(spark, d):
+    """Three orders against all others: exact, however many those are."""
+    orders = table(spark, d, "orders")
+    value = F.round(F.col("o_totalprice") * 100).cast("bigint") * 1_000_000 + F.col("o_orderkey")
+    third = orders.agg(F.array_sort(F.slice(F.array_sort(F.collect_list(F.when(F.col("o_orderkey") % 5000 == 1, F.col("o_orderkey")))), 1, 3))).scalar()
+    few = F.array_contains(third, F.col("o_orderkey"))
+    rows = orders.select(value.cast("double").alias("value"), F.when(few, "few").otherwise("rest").alias("side"))
+    found = hypothesis.mann_whitney_stats(rows, "value", "side", "few", "rest", "exact")
+    return found.select("n_a", "n_b", "median_a", "median_b", "statistic", F.round("p_value", 12).alias("p_value"))
+
+
 @query
 def test_mann_whitney(spark, d):
     return hypothesis.mann_whitney_test(table(spark, d, "events"), "value", "event_type", "click", "error")

@@ -11,10 +11,12 @@ WITH o AS (
   SELECT o_custkey, count(*) AS n, sum(CAST(floor(o_totalprice) AS BIGINT)) AS spent,
          CAST(CAST(min(o_orderdate) AS DATE) AS STRING) AS d
   FROM {orders} GROUP BY o_custkey),
+j AS (
+  SELECT c_custkey AS k, 900 + CAST(floor(abs(c_acctbal)) AS BIGINT) AS inc,
+         coalesce(n, 0) AS n, coalesce(spent, 0) AS spent, coalesce(d, '2001-03-04') AS d
+  FROM {customer} LEFT JOIN o ON o_custkey = c_custkey),
 b AS (
-  SELECT c_custkey AS k, 900 + CAST(floor(abs(c_acctbal)) AS BIGINT) AS inc, n, spent,
-         substr(d,1,4) AS y, substr(d,6,2) AS m, substr(d,9,2) AS dd
-  FROM {customer} JOIN o ON o_custkey = c_custkey),
+  SELECT k, inc, n, spent, substr(d,1,4) AS y, substr(d,6,2) AS m, substr(d,9,2) AS dd FROM j),
 r AS (
   SELECT concat('CUST', lpad(CAST(k AS STRING), 6, '0')) AS customer_id,
     CASE k % 6 WHEN 0 THEN 'JOÃO SILVA' WHEN 1 THEN '  joao   silva ' WHEN 2 THEN 'Maria Souza'
