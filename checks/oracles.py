@@ -68,6 +68,11 @@ ORACLES["convert_numeric"] = o.customers("typed", f"SELECT customer_id, {', '.jo
 ORACLES["parse_dates"] = dirty(
     f"SELECT customer_id, signup_date, {o.day('signup_date')} AS parsed FROM dirty"
 )
+ORACLES["parse_timestamps"] = """SELECT o_orderkey,
+  CASE WHEN o_orderkey % 6 < 3 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)
+       WHEN o_orderkey % 6 = 3 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + INTERVAL '8 hours 30 minutes 5 seconds'
+       WHEN o_orderkey % 6 = 4 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + INTERVAL '23 hours 59 minutes' END AS at,
+  CASE WHEN o_orderkey % 6 < 5 THEN CAST(o_orderdate AS DATE) END AS day FROM orders"""
 ORACLES["date_parts"] = dirty(f"""
 SELECT customer_id, d AS signup_date, year(d) AS signup_date_year, month(d) AS signup_date_month,
        quarter(d) AS signup_date_quarter, dayname(d) AS signup_date_weekday
@@ -86,6 +91,9 @@ ORACLES["invalid_range_values"] = dirty(
 # --- imputation ------------------------------------------------------------------
 ORACLES["impute_global_median"] = o.customers("done", "SELECT customer_id, age, satisfaction_score FROM filled")
 ORACLES["impute_income_by_group"] = o.customers("done", "SELECT customer_id, state, income FROM filled")
+ORACLES["impute_without_group"] = o.customers(
+    "uniq", "SELECT customer_id, coalesce(income, (SELECT median(income) FROM uniq)) AS income FROM uniq"
+)
 ORACLES["impute_constant"] = o.customers("done", "SELECT customer_id, city FROM filled")
 ORACLES["handle_missing"] = o.customers(
     "done", "SELECT customer_id, age, income, satisfaction_score, city FROM filled"
@@ -150,11 +158,11 @@ def top_text(c: str) -> str:
     )
 
 
-LINE_COLUMNS = (
+ALL_LINE_COLUMNS = (
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
     "l_returnflag", "l_linestatus", "l_shipdate",
 )
-ORACLES["describe_text"] = o.union(top_text(c) for c in LINE_COLUMNS)
+ORACLES["describe_text"] = o.union(top_text(c) for c in ALL_LINE_COLUMNS)
 ORACLES["distinct_values"] = dirty("SELECT DISTINCT state AS value FROM dirty WHERE state IS NOT NULL")
 
 # --- duplicates --------------------------------------------------------------------
@@ -301,6 +309,12 @@ v AS (SELECT e.event_type, value, n, q1, med, q3, value BETWEEN q1 - 1.5 * (q3 -
 SELECT event_type, 'value' AS "column", n, round(q1, 6) AS q1, round(med, 6) AS median, round(q3, 6) AS q3,
        round(min(value) FILTER (inside), 6) AS whisker_low, round(max(value) FILTER (inside), 6) AS whisker_high,
        count(*) FILTER (NOT inside) AS flier_count FROM v GROUP BY event_type, n, q1, med, q3"""
+ORACLES["boxplot_overall"] = o.union(f"""SELECT * FROM (WITH q AS (
+  SELECT count({c}) AS n, quantile_cont({c}, 0.25) AS q1, median({c}) AS med, quantile_cont({c}, 0.75) AS q3 FROM lineitem),
+v AS (SELECT {c} AS value, n, q1, med, q3, {c} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside FROM lineitem, q)
+SELECT '{c}' AS "column", n, round(q1, 6) AS q1, round(med, 6) AS median, round(q3, 6) AS q3,
+       round(min(value) FILTER (inside), 6) AS whisker_low, round(max(value) FILTER (inside), 6) AS whisker_high,
+       count(*) FILTER (NOT inside) AS flier_count FROM v GROUP BY n, q1, med, q3)""" for c in ("l_quantity", "l_extendedprice"))
 ORACLES["state_counts_topn"] = o.customers("uniq", """
 SELECT state AS value, count(*) AS row_count FROM uniq WHERE state IS NOT NULL GROUP BY state ORDER BY 2 DESC, 1 LIMIT 4""")
 ORACLES["monthly_counts"] = "SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS row_count FROM orders GROUP BY 1"

@@ -194,6 +194,24 @@ def parse_dates(spark, d):
     return rows.select("customer_id", "signup_date", dates.parse_date(F.col("signup_date")).alias("parsed"))
 
 
+@query
+def parse_timestamps(spark, d):
+    """Order dates in ISO, textual and time-of-day layouts."""
+    day = F.col("o_orderdate").cast("date")
+    shown = (
+        F.when(F.col("o_orderkey") % 6 == 0, F.date_format(day, "yyyyMMdd"))
+        .when(F.col("o_orderkey") % 6 == 1, F.date_format(day, "MMMM d, yyyy"))
+        .when(F.col("o_orderkey") % 6 == 2, F.date_format(day, "d MMM yyyy"))
+        .when(F.col("o_orderkey") % 6 == 3, F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" 08:30:05")))
+        .when(F.col("o_orderkey") % 6 == 4, F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T23:59")))
+        .otherwise(F.concat(F.lit("on "), F.date_format(day, "yyyy-MM-dd")))
+    )
+    rows = table(spark, d, "orders").select("o_orderkey", shown.alias("shown"))
+    return rows.select(
+        "o_orderkey", dates.parse_timestamp(F.col("shown")).alias("at"), dates.parse_date(F.col("shown")).alias("day")
+    )
+
+
 @query
 def date_parts(spark, d):
     rows = dirty_customers(spark, d).select("customer_id", "signup_date")
@@ -230,6 +248,11 @@ def impute_income_by_group(spark, d):
     return impute.impute_group_median(unique(spark, d)).select("customer_id", "state", "income")
 
 
+@query
+def impute_without_group(spark, d):
+    return impute.impute_group_median(unique(spark, d).drop("state")).select("customer_id", "income")
+
+
 @query
 def impute_constant(spark, d):
     return impute.impute_constant(unique(spark, d)).select("customer_id", "city")
@@ -565,6 +588,11 @@ def boxplot_stats(spark, d):
     return rounded(charts.boxplot_stats(table(spark, d, "events"), ["value"], by="event_type"))
 
 
+@query
+def boxplot_overall(spark, d):
+    return rounded(charts.boxplot_stats(table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice"]))
+
+
 @query
 def state_counts_topn(spark, d):
     return charts.counts_per_state(unique(spark, d), top_n=4)
