@@ -2,7 +2,7 @@
 
 Normalised texts are lower case with single blanks between words; a version
 like 2.0 is the two words ``2 0``. A rule is tried on texts that have one of its
-keywords at the beginning of a word; every match of its pattern has one.
+keywords, as whole words; every match of its pattern has one.
 """
 
 from __future__ import annotations
@@ -21,13 +21,13 @@ class Rule(NamedTuple):
     regex: str
 
 
-#: label, keywords of its name, identifier (its first word is a keyword too), name.
+#: label, keywords of its name, identifier (its first words are a keyword too), name.
 LICENSES = (
     ("apache-1.1", "apache", "apache 1 1", rf"apache software license {_V}1 1"),
     ("apache-2.0", "apache", "apache 2 0", rf"apache (?:software )?license {_V}2(?: 0)?"),
-    ("mit", "mit|expat", "mit", "(?:mit|expat) license"),
-    ("mit-0", "mit", "mit 0", "mit no attribution(?: license)?"),
-    ("isc", "isc", "isc", "isc license"),
+    ("mit", "mit license|expat license", "mit", "(?:mit|expat) license"),
+    ("mit-0", "mit no attribution", "mit 0", "mit no attribution(?: license)?"),
+    ("isc", "isc license", "isc", "isc license"),
     ("0bsd", "bsd|zero clause", "0bsd", "(?:bsd zero clause|zero clause bsd)(?: license)?"),
     ("bsd-1-clause", "bsd", "bsd 1 clause", "(?:bsd 1 clause|1 clause bsd|one clause bsd)(?: license)?"),
     ("bsd-2-clause", "bsd|freebsd", "bsd 2 clause", "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)(?: license)?"),
@@ -73,10 +73,10 @@ LICENSES = (
     ("unlicense", "unlicense", "unlicense", "(?:the )?unlicense"),
     ("wtfpl", "do what the f", "wtfpl", "do what the f[^ ]* you want to public license"),
     ("postgresql", "postgresql license", "postgresql", "postgresql license"),
-    ("python-2.0", "python|psf", "(?:python|psf) 2 0", "(?:python software foundation|psf|python) license(?: agreement)?"),
+    ("python-2.0", "python license|python software foundation license|psf license|python 2 0|psf 2 0", "(?:python|psf) 2 0", "(?:python software foundation|psf|python) license(?: agreement)?"),
     ("php-3.01", "php license", "php 3 01", rf"php license(?: {_V}3 0?1)?"),
     ("ruby", "ruby license", "ruby", "ruby license"),
-    ("perl", "perl", "artistic 1 0 perl", "same terms as perl(?: itself)?"),
+    ("perl", "same terms as perl", "artistic 1 0 perl", "same terms as perl(?: itself)?"),
     ("ofl-1.1", "open font license", "ofl 1 1", rf"(?:sil )?open font license(?: {_V}1 1)?"),
     ("ms-pl", "microsoft public license", "ms pl", "microsoft public license"),
     ("ms-rl", "microsoft reciprocal license", "ms rl", "microsoft reciprocal license"),
@@ -91,7 +91,7 @@ LICENSES = (
     ("pddl-1.0", "public domain dedication", "pddl 1 0", "open data commons public domain dedication(?: and license)?"),
     ("cdla-permissive-2.0", "community data license", "cdla permissive 2 0", rf"community data license agreement permissive(?: {_V}[12] 0)?"),
     ("cdla-sharing-1.0", "community data license", "cdla sharing 1 0", rf"community data license agreement sharing(?: {_V}1 0)?"),
-    ("ogl-3.0", "open government licen", "ogl (?:uk )?3 0", rf"open government licen[cs]e(?: {_V}3 0)?"),
+    ("ogl-3.0", "open government licence|open government license|ogl uk 3|ogl 3", "ogl (?:uk )?3 0", rf"open government licen[cs]e(?: {_V}3 0)?"),
     ("etalab-2.0", "licence ouverte", "etalab 2 0", "licence ouverte(?: open licence)?(?: etalab)?(?: (?:version )?2 0)?"),
     ("openrail-m", "openrail|open rail|bigscience|creativeml", "openrail m", "(?:bigscience |creativeml )?open ?rail m(?: license)?"),
     ("llama-community", "llama", "llama [23]", "llama [0-9]+(?: [0-9]+)? community license(?: agreement)?"),
@@ -114,7 +114,7 @@ NOTICES = (
     ("mit", MENTION, "merchantability", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability"),
     ("isc", GRANT, "permission to use copy", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
     ("bsd", MENTION, "redistribution and use", "redistribution and use in source and binary forms"),
-    ("bsd-3-clause", GRANT, "redistribution", "neither the name of (?:[^ ]+ ){1,12}?nor the names of its contributors"),
+    ("bsd-3-clause", GRANT, "neither the name of", "neither the name of (?:[^ ]+ ){1,12}?nor the names of its contributors"),
     ("bsd-4-clause", GRANT, "advertising", "all advertising materials mentioning features or use of this software must display"),
     ("apache-2.0", GRANT, "licensed under the apache", "licensed under the apache license version 2 0 the license"),
     ("apache-2.0", MENTION, "applicable law", "unless required by applicable law or agreed to in writing"),
@@ -130,7 +130,7 @@ NOTICES = (
     ("apache", MENTION, "apache", "apache (?:software )?license"),
     ("artistic", MENTION, "artistic license", "artistic license"),
     ("unlicense", GRANT, "public domain", "this is free and unencumbered software released into the public domain"),
-    ("zlib", GRANT, "freely", "permission is granted to anyone to use this software for any purpose including commercial applications"),
+    ("zlib", GRANT, "permission is granted to anyone", "permission is granted to anyone to use this software for any purpose including commercial applications"),
     ("bsl-1.0", GRANT, "boost", "distributed under the boost software license"),
     ("cc-by", MENTION, "creative commons", "creative commons attribution(?: license)?"),
     ("cc-by-sa", MENTION, "cc by sa", "cc by sa"),
@@ -146,31 +146,42 @@ NOTICES = (
     ("proprietary", GRANT, "proprietary", "proprietary and confidential"),
     ("proprietary", MENTION, "confidential", "confidential (?:information )?(?:of|to) [^ ]+"),
     ("proprietary", MENTION, "proprietary", "proprietary (?:software|license|information)"),
-    ("no-reproduction", GRANT, "reproduced", "no part of this (?:publication|book|document|work) may be reproduced"),
-    ("no-reproduction", MENTION, "unauthori", "unauthori[sz]ed (?:reproduction|copying|distribution|use)"),
+    ("no-reproduction", GRANT, "no part of this", "no part of this (?:publication|book|document|work) may be reproduced"),
+    ("no-reproduction", MENTION, "unauthorized|unauthorised", "unauthori[sz]ed (?:reproduction|copying|distribution|use)"),
     ("non-commercial", MENTION, "noncommercial|non commercial", "(?:for )?non ?commercial use only"),
     ("copyright", MENTION, "copyright", "copyright (?:c )?(?:19|20)[0-9][0-9](?: (?:19|20)[0-9][0-9])?"),
-    ("copyright", MENTION, "copyright", "(?:all )?copyrights? (?:is |are )?(?:reserved|held|owned)"),
-    ("eula", MENTION, "license agreement", "end user licen[cs]e agreement"),
-    ("warranty-disclaimer", MENTION, "warrant", "without (?:any )?warrant(?:y|ies)(?: of any kind)?"),
-    ("dual-licensed", MENTION, "dual licen", "dual licen[cs]ed"),
+    ("copyright", MENTION, "copyright|copyrights", "(?:all )?copyrights? (?:is |are )?(?:reserved|held|owned)"),
+    ("eula", MENTION, "end user", "end user licen[cs]e agreement"),
+    ("warranty-disclaimer", MENTION, "warranty|warranties", "without (?:any )?warrant(?:y|ies)(?: of any kind)?"),
+    ("dual-licensed", MENTION, "dual licensed|dual licenced", "dual licen[cs]ed"),
 )
 
 _GIVEN = r"(?:licen[cs]ed|released|distributed|published|available|provided|shared) (?:[^ ]+ )?under (?:the )?(?:terms of (?:the )?)?(?:gnu )?"
+#: What can stand before a name in a phrase of that kind.
+_BEFORE = ("under", "under the", "terms of", "of the", "gnu")
+
+
+def _beginning(identifier: str) -> str | None:
+    """The first words of a pattern, two at most, as far as they are plain."""
+    words = []
+    for word in identifier.split("(")[0].split()[:2]:
+        if not word.isalnum():
+            break
+        words.append(word)
+    return " ".join(words) or None
 
 
 def _compiled() -> tuple[Rule, ...]:
     """Three rules of each license, then the notices, in order of precedence."""
     rules = []
     for label, names, identifier, name in LICENSES:
-        keywords = tuple(names.split("|"))
-        if not identifier.startswith("("):
-            keywords += (identifier.split("(")[0].split()[0],)
-        keywords = tuple(dict.fromkeys(keywords))
-        rules.append(Rule(label, TAG, 1.0, ("spdx",), f"spdx license identifier {identifier}"))
-        rules.append(Rule(label, GRANT, 0.95, keywords, f"{_GIVEN}(?:{name}|{identifier})(?: licen[cs]e)?"))
+        keywords, start = tuple(names.split("|")), _beginning(identifier)
         one_word = len(identifier.split()) < 2
-        rules.append(Rule(label, MENTION, 0.7, keywords, name if one_word else f"(?:{name}|{identifier})"))
+        given = tuple(f"{b} {start}" for b in _BEFORE if start)
+        rules.append(Rule(label, TAG, 1.0, ("spdx license identifier",), f"spdx license identifier {identifier}"))
+        rules.append(Rule(label, GRANT, 0.95, keywords + given, f"{_GIVEN}(?:{name}|{identifier})(?: licen[cs]e)?"))
+        keywords += (start,) if start and not one_word else ()
+        rules.append(Rule(label, MENTION, 0.7, tuple(dict.fromkeys(keywords)), name if one_word else f"(?:{name}|{identifier})"))
     for label, priority, keyword, regex in NOTICES:
         rules.append(Rule(label, priority, 0.9 if priority == GRANT else 0.6, tuple(keyword.split("|")), regex))
     return tuple(rules)

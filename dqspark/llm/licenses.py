@@ -27,16 +27,20 @@ PHRASE_WEIGHT = 0.5
 
 
 def normal_words(text: Column) -> Column:
-    """Words of ASCII letters, digits and whatever is beyond ASCII, as `` a b c ``.
+    """Words of ASCII letters, digits and whatever is beyond ASCII, as `` a B c ``.
 
-    A-Z count as a-z; null and wordless texts give one blank.
+    Null and wordless texts give one blank. The case stays: few texts need it
+    folded, and counting words does not.
     """
-    lower = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    spaced = F.regexp_replace(lower, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")
-    bare = F.trim(spaced)
+    bare = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " "))
     return F.when(bare == "", F.lit(" ")).otherwise(F.concat(F.lit(" "), bare, F.lit(" ")))
 
 
+def small_letters(words: Column) -> Column:
+    """A-Z as a-z, nothing else."""
+    return F.translate(words, UPPER, LOWER)
+
+
 def blanks(text: Column) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))).cast("long")
 
@@ -77,7 +81,7 @@ def matches(words: Column, rules: Sequence[Rule]) -> Column:
     schema = "array<struct<number int, label string, priority int, weight double, keywords array<string>, regex string>>"
     table = F.from_json(F.lit(json.dumps(listed)), schema)
     tried = F.filter(
-        table, lambda r: F.exists(r.keywords, lambda k: F.contains(words, F.concat(F.lit(" "), k)))
+        table, lambda r: F.exists(r.keywords, lambda k: F.contains(words, F.concat(F.lit(" "), k, F.lit(" "))))
     )
     found = F.transform(
         tried,
@@ -101,13 +105,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     empty texts have no words and detections. No rows give no rows. Other columns
     are not read.
     """
-    every = any_of(dict.fromkeys(k for r in rules for k in r.keywords))
-    gate = F.col("_words").rlike(f" {every}")
+    every = any_of(dict.fromkeys(f"{k} " for r in rules for k in r.keywords))
+    gate = F.col("_words").rlike(f"(?i) {every}")  # folds ASCII letters only
     read = docs.select(F.col(id_col).alias("id"), normal_words(F.col(text_col)).alias("_words"))
     read = read.select(
         "id",
         F.greatest(blanks(F.col("_words")) - 1, F.lit(0).cast("long")).alias("n_words"),
-        F.when(gate, F.col("_words")).alias("words"),
+        F.when(gate, small_letters(F.col("_words"))).alias("words"),
     )
     tried = read.withColumn("_match", F.when(F.col("words").isNotNull(), matches(F.col("words"), rules)))
     # Rows are told apart inside this one pass only, so the numbers may depend on partitions.

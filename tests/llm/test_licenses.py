@@ -15,7 +15,7 @@ def slow_words(text):
 def slow(text, rules):
     whole, found = f" {' '.join(slow_words(text))} ", []
     for number, rule in enumerate(rules):
-        if any(f" {k}" in whole for k in rule.keywords):
+        if any(not k or f" {k} " in whole for k in rule.keywords):
             for m in re.finditer(f" ({rule.regex})(?= )", whole):
                 first = whole[: m.start() + 1].count(" ") - 1
                 found.append((first, first + m[1].count(" "), rule.priority, number, rule.label))
@@ -54,6 +54,13 @@ def test_like_all_rules_on_all_texts(spark):
             assert r.n_words == len(slow_words(text))
 
 
+@pytest.mark.parametrize("text", [t for t in TEXTS if t])
+def test_keywords_miss_no_match(text):
+    always = [r._replace(keywords=("",)) for r in RULES]
+    whole = [(a, b, label, n) for a, b, label, n in slow(text, always)]
+    assert slow(text, RULES) == whole
+
+
 def test_suppression():
     rules = (
         Rule("low", MENTION, 0.5, ("a",), "a b c d"), Rule("high", GRANT, 0.5, ("b",), "b c"),
