@@ -11,7 +11,7 @@ from dqspark.llm.packing import op1_vector_packing
 from dqspark.llm.paragraphs import op8_paragraph_minhash
 from dqspark.llm.simhash import op7_simhash_pivots
 from dqspark.llm.toxicity import op4_toxicity_trees
-from dqspark.llm.suffixes import op6_prefix_free_parsing
+from dqspark.llm.suffixes import OP6_SQL, op6_prefix_free_parsing
 
 QUERIES = {f.__name__: f for f in (op1_vector_packing, op2_robust_outliers, op3_simhash_windows, op4_toxicity_trees, op5_license_rules, op6_prefix_free_parsing, op7_simhash_pivots, op8_paragraph_minhash, op9_host_pagerank, op10_chat_events)}
-ORACLES = {"op10_chat_events": OP10_SQL}
+ORACLES = {"op10_chat_events": OP10_SQL, "op6_prefix_free_parsing": OP6_SQL}

@@ -13,10 +13,12 @@ earlier document has as a whole needs no suffixes at all.
 The steps, all of them Spark jobs over rows that grow with the input:
 
 1. Each task packs the hashes of its triggers by range; ranges that meet tell
-   each document which of its triggers others have too.
+   each text which of its triggers other texts have too. Of equal texts only the
+   one with the smallest id goes on; the others are repeated as a whole.
 2. Documents write down the phrases of those triggers.
-3. The smallest id of each phrase is found. Phrases whose trigger has other
-   phrases too get their suffixes grouped by their first LENGTH bytes.
+3. By trigger, the smallest id of each phrase is found; where a trigger has
+   several phrases, the suffixes of the dictionary tell which windows of the one
+   are in another.
 4. The covered bytes are cut out.
 """
 
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +50,8 @@ _LOW = np.uint64(63)
 
 #: Bytes of text per hash range, bytes a task parses at once, triggers it packs at once.
 RANGE_BYTES, PARSE_BYTES, PACK = 16 << 20, 1 << 20, 2_000_000
+#: Phrases of one trigger in one task from which on its windows are dealt by themselves.
+CROWD_SIZE = 512
 MANY = np.uint32(0xFFFFFFFF)
 
 
@@ -144,15 +148,16 @@ def _batch(names: str, columns: list, kinds: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names.split())
 
 
-PACKED = "range int, rows binary, owners binary, rests binary, told boolean"
+PACKED = "batch long, range int, rows binary, owners binary, rests binary, told boolean"
 
 
 def _pack(bits: int):
     """Task of step 1: packed triggers by range, and what is shared inside the task."""
 
-    def flush(rows: list[int], hashes: list[np.ndarray], owners: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        keys = np.array(rows, np.int64)
-        h, owner = np.concatenate(hashes), np.concatenate(owners).astype(np.uint32)
+    def flush(number: int, rows: list[int], hashes: list[np.ndarray], owners: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        # Equal texts are one owner: they are dealt with as wholes.
+        keys, number_of = np.unique(np.array(rows, np.int64), return_inverse=True)
+        h, owner = np.concatenate(hashes), number_of[np.concatenate(owners)].astype(np.uint32)
         order = np.lexsort((owner, h))
         h, owner = h[order], owner[order]
         once = np.ones(len(h), bool)
@@ -170,16 +175,17 @@ def _pack(bits: int):
             one = slice(edges[r], edges[r + 1])
             if edges[r + 1] > edges[r]:
                 used = head[one]
-                out.append((r, *_with_rows(keys, shipped[one][used]), rest[one][used].tobytes(), False))
+                out.append((number, r, *_with_rows(keys, shipped[one][used]), rest[one][used].tobytes(), False))
                 told = several[one]
                 if told.any():
-                    out.append((r, *_with_rows(keys, owner[one][told]), rest[one][told].tobytes(), True))
-        kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.bool_()]
+                    out.append((number, r, *_with_rows(keys, owner[one][told]), rest[one][told].tobytes(), True))
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.bool_()]
         for i in range(0, len(out), 64):
-            yield _batch("range rows owners rests told", list(zip(*out[i : i + 64])), kinds)
+            yield _batch("batch range rows owners rests told", list(zip(*out[i : i + 64])), kinds)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, hashes, owners, count = [], [], [], 0
+        number = TaskContext.get().partitionId() << 20
         for batch in worker.slices(batches):
             texts = _bytes(batch.column(1))
             for owner, h, *_ in parse(texts):
@@ -188,10 +194,11 @@ def _pack(bits: int):
                 count += len(h)
             rows += batch.column(0).to_pylist()
             if count >= PACK:
-                yield from flush(rows, hashes, owners)
+                yield from flush(number, rows, hashes, owners)
                 rows, hashes, owners, count = [], [], [], 0
+                number += 1
         if count:
-            yield from flush(rows, hashes, owners)
+            yield from flush(number, rows, hashes, owners)
 
     return work
 
@@ -204,93 +211,233 @@ def _with_rows(keys: np.ndarray, owner: np.ndarray) -> tuple[bytes, bytes]:
     return keys[known.astype(np.int64)].astype("<i8").tobytes(), place.tobytes()
 
 
-SHARED = "row long, range int, rests binary"
+MET = "batch long, range int, rows binary, owners binary, rests binary"
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """End of step 1: which triggers of a range other rows have too, by row."""
-
-    def told(rows: np.ndarray, owner: np.ndarray, rest: np.ndarray, number: int) -> Iterator[pa.RecordBatch]:
-        order = np.argsort(owner, kind="stable")
-        owner, rest = owner[order], rest[order]
-        cuts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-        out = [(int(rows[owner[i]]), number, rest[i:j].tobytes()) for i, j in zip(cuts, np.append(cuts[1:], len(owner)))]
-        for i in range(0, len(out), 8192):
-            yield _batch("row range rests", list(zip(*out[i : i + 8192])), [pa.int64(), pa.int32(), pa.binary()])
+    """For rows sorted by range: which triggers other rows have too, told to each batch."""
+    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
 
     def finish(number: int, parts: list) -> Iterator[pa.RecordBatch]:
-        rows, owners, rests, base = [], [], [], 0
-        for r, o, s in parts:
-            rows.append(r)
-            owners.append(np.where(o < len(r), o.astype(np.int64) + base, -1))  # beyond: MANY
-            rests.append(s)
-            base += len(r)
-        rows, owner, rest = np.concatenate(rows), np.concatenate(owners), np.concatenate(rests)
-        order = np.argsort(rest, kind="stable")
-        owner, rest = owner[order], rest[order]
-        same = rest[1:] == rest[:-1]
-        met = np.append(same, False) | np.append(False, same)
-        met &= owner >= 0
-        if met.any():
-            yield from told(rows, owner[met], rest[met], number)
+        rests = np.concatenate([np.frombuffer(p[3], "<u4") for p in parts])
+        owners = [np.frombuffer(p[2], "<u4").astype(np.int64) for p in parts]
+        # An owner beyond the rows stands for several texts, MANY; none is like another.
+        texts = [np.append(np.frombuffer(p[1], "<i8"), 0)[np.minimum(o, len(p[1]) // 8)] for p, o in zip(parts, owners)]
+        several = np.concatenate([o >= len(p[1]) // 8 for p, o in zip(parts, owners)])
+        texts = np.concatenate(texts)
+        order = np.lexsort((texts, rests))
+        first = np.append(True, rests[order][1:] != rests[order][:-1])
+        group = np.cumsum(first) - 1
+        other = ~first & np.append(False, (texts[order][1:] != texts[order][:-1]) | several[order][1:] | several[order][:-1])
+        mixed = np.zeros(group[-1] + 1, bool)
+        mixed[group[other]] = True
+        met = np.zeros(len(rests), bool)
+        met[order] = mixed[group]
+        at = 0
+        for batch, rows, owners, own_rests in parts:
+            owner, rest = np.frombuffer(owners, "<u4"), np.frombuffer(own_rests, "<u4")
+            one = met[at : at + len(rest)] & (owner < len(rows) // 8)  # beyond: MANY, told already
+            at += len(rest)
+            if one.any():
+                row = (batch, number, rows, owner[one].tobytes(), rest[one].tobytes())
+                yield _batch("batch range rows owners rests", [[x] for x in row], kinds)
 
     number, parts = None, []
     for batch in batches:
-        for r, rows, owners, rests, is_told in zip(*(c.to_pylist() for c in batch.columns)):
-            part = (np.frombuffer(rows, "<i8"), np.frombuffer(owners, "<u4"), np.frombuffer(rests, "<u4"))
-            if is_told:
-                yield from told(*part, r)
+        for source, r, rows, owners, rests, told in zip(*(c.to_pylist() for c in batch.columns)):
+            if told:
+                yield _batch("batch range rows owners rests", [[x] for x in (source, r, rows, owners, rests)], kinds)
                 continue
             if r != number and parts:
                 yield from finish(number, parts)
                 parts = []
             number = r
-            parts.append(part)
+            parts.append((source, rows, owners, rests))
     if parts:
         yield from finish(number, parts)
 
 
-PHRASES = "a long, x long, id long, text_key long, lo int, n int, stretch binary"
+SHARED = "row long, triggers binary"
+
+
+def _by_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """End of step 1, for rows sorted by batch: the shared triggers (range and rest) of each row."""
+
+    def finish(parts: list) -> Iterator[pa.RecordBatch]:
+        rows = np.concatenate([np.frombuffer(r, "<i8")[np.frombuffer(o, "<u4")] for _, r, o, _ in parts])
+        found = [np.frombuffer(s, "<u4").astype("<u8") | np.uint64(number << 32) for number, _, _, s in parts]
+        order = np.argsort(rows, kind="stable")
+        rows, triggers = rows[order], np.concatenate(found)[order]
+        cuts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+        stops = np.append(cuts[1:], len(rows))
+        for i in range(0, len(cuts), 4096):
+            blobs = [triggers[x:y].tobytes() for x, y in zip(cuts[i : i + 4096], stops[i : i + 4096])]
+            yield _batch("row triggers", [rows[cuts[i : i + 4096]], blobs], [pa.int64(), pa.binary()])
+
+    source, parts = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[0] != source and parts:
+                yield from finish(parts)
+                parts = []
+            source = row[0]
+            parts.append(row[1:])
+    if parts:
+        yield from finish(parts)
+
+
+PHRASES = "kind int, a long, id long, text_key long, lo int, n int, skip int, stretch binary"
+#: Kinds of rows of step 2: a trigger has too many phrases here for one group; a
+#: phrase; a phrase of such a trigger; windows that are known to be repeated.
+CROWDED, PHRASE, CROWD, DONE = range(4)
 
 
 def _phrases(bits: int):
-    """Task of step 2: the phrases of shared triggers, with the text of their windows."""
+    """Task of step 2: the phrases of shared triggers, each once per task.
+
+    ``stretch`` is the text of a phrase's windows, ``skip`` where its trigger
+    stands in it. Rows with a larger id than another one with that phrase here
+    are settled at once. Later groups are so bounded by the number of tasks.
+    """
+
+    def flush(found: dict[tuple, list[tuple]], done: dict[tuple, list]) -> Iterator[pa.RecordBatch]:
+        phrases: dict[int, int] = {}
+        for a, _, _ in found:
+            phrases[a] = phrases.get(a, 0) + 1
+        crowded = {a for a, n in phrases.items() if n > CROWD_SIZE}
+        out = [(CROWDED, a, None, None, None, None, None, None) for a in crowded]
+        for (a, skip, stretch), rows in found.items():
+            kind, n = CROWD if a in crowded else PHRASE, len(stretch) - LENGTH + 1
+            out += [(kind, a, key, text_key, lo, n, skip, stretch) for key, text_key, lo in rows]
+        for (key, text_key), spans in done.items():
+            out += [(DONE, 0, key, text_key, lo, n, None, None) for lo, n in _merged(spans)]
+        kinds = [pa.int32(), *[pa.int64()] * 3, *[pa.int32()] * 3, pa.binary()]
+        for i in range(0, len(out), 8192):
+            yield _batch("kind a id text_key lo n skip stretch", list(zip(*out[i : i + 8192])), kinds)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        found: dict[tuple, list[tuple]] = {}
+        done: dict[tuple, list] = {}
         for batch in worker.slices(batches, 128):
             ids, keys, shared = (batch.column(i).to_pylist() for i in (0, 1, 3))
-            texts, out = _bytes(batch.column(2)), []
+            texts = _bytes(batch.column(2))
+            known = [np.concatenate([np.frombuffer(s, "<u8") for s in one]) for one in shared]
             for owner, h, trigger, lo, hi in parse(texts):
                 short = h >> np.uint64(32 - bits)  # range and rest
-                cuts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-                for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(owner)]):
+                cuts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])).tolist()
+                for i, j in zip(cuts, [*cuts[1:], len(owner)]):
                     o = int(owner[i])
-                    known = np.concatenate([np.frombuffer(s["rests"], "<u4").astype(np.uint64) | np.uint64(s["range"] << 32) for s in shared[o]])
-                    for t in (np.flatnonzero(np.isin(short[i:j], known)) + i).tolist():
-                        stretch = texts[o][lo[t] : hi[t] + LENGTH]
-                        x = xxhash.xxh64_intdigest(stretch, int(trigger[t] - lo[t]))
-                        out.append((int(h[t].view(np.int64)), x - (1 << 64) if x >> 63 else x, ids[o], keys[o], int(lo[t]), int(hi[t] - lo[t] + 1), stretch))
-            for i in range(0, len(out), 8192):
-                yield _batch("a x id text_key lo n stretch", list(zip(*out[i : i + 8192])), kinds)
+                    at = np.flatnonzero(np.isin(short[i:j], known[o])) + i
+                    key, text_key, text = ids[o], keys[o], texts[o]
+                    columns = (h[at].view(np.int64), trigger[at] - lo[at], lo[at], hi[at] + LENGTH)
+                    for a, skip, start, end in zip(*(c.tolist() for c in columns)):
+                        phrase = (a, skip, text[start:end])
+                        rows = found.setdefault(phrase, [])
+                        if not rows or rows[0][0] == key:
+                            rows.append((key, text_key, start))
+                            continue
+                        if rows[0][0] < key:
+                            lost = [(key, text_key, start)]
+                        else:
+                            lost, found[phrase] = rows, [(key, text_key, start)]
+                        for k, t, s in lost:
+                            done.setdefault((k, t), []).append((s, end - start - LENGTH + 1))
+            if len(found) >= PACK // 4:
+                yield from flush(found, done)
+                found, done = {}, {}
+        yield from flush(found, done)
 
     return work
 
 
-SUFFIXES = "a long, x long, id long, shift int, head long"
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same windows in as few (first, number) spans as possible."""
+    out: list[list[int]] = []
+    for lo, n in sorted(spans):
+        if out and lo <= out[-1][0] + out[-1][1]:
+            out[-1][1] = max(out[-1][1], lo + n - out[-1][0])
+        else:
+            out.append([lo, n])
+    return [(lo, n) for lo, n in out]
+
+
+SPANS = "id long, text_key long, lo int, n int, mask long, a long, stretch binary"
+
+
+def _order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Step 3, for rows sorted by trigger and kind: which windows an earlier row has.
+
+    A trigger's phrases are the dictionary; their suffixes of LENGTH bytes are
+    taken in the order of the ids that have them first. Phrases of crowded
+    triggers are passed on with their stretch.
+    """
+
+    def settle(rows: list[tuple]) -> Iterator[tuple]:
+        least: dict[tuple, int] = {}
+        for _, _, key, _, _, _, skip, stretch in rows:
+            phrase = (skip, stretch)
+            if phrase not in least or key < least[phrase]:
+                least[phrase] = key
+        masks = dict.fromkeys(least, 0)
+        if len(least) > 1:
+            seen: dict[bytes, int] = {}
+            for phrase, key in sorted(least.items(), key=lambda x: x[1]):
+                stretch = phrase[1]
+                for i in range(len(stretch) - LENGTH + 1):
+                    if seen.setdefault(stretch[i : i + LENGTH], key) < key:
+                        masks[phrase] |= 1 << i
+        for _, _, key, text_key, lo, n, skip, stretch in rows:
+            if key > least[skip, stretch]:
+                yield key, text_key, lo, n, None, None, None
+            elif masks[skip, stretch]:
+                yield key, text_key, lo, n, masks[skip, stretch], None, None
+
+    def written(out: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+        return _batch("id text_key lo n mask a stretch", list(zip(*out)), kinds)
+
+    rows, trigger, crowded, out = [], None, False, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[1] != trigger:
+                out += settle(rows)
+                rows, trigger, crowded = [], row[1], False
+            if row[0] == CROWDED:
+                crowded = True
+            elif crowded:
+                out.append((*row[2:6], None, row[1], row[7]))
+            else:
+                rows.append(row)
+            if len(out) >= 8192:
+                yield written(out)
+                out = []
+    out += settle(rows)
+    if out:
+        yield written(out)
+
+
+SUFFIXES = "a long, id long, text_key long, lo int, n int, shift int, head long"
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 3: the windows of a phrase, each as a hash of its LENGTH bytes."""
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+    """The windows of crowded triggers' phrases, each as a hash of its LENGTH bytes."""
+    kinds = [*[pa.int64()] * 3, *[pa.int32()] * 3, pa.int64()]
     for batch in worker.slices(batches, 4096):
-        a, x, ids, stretches = (c.to_pylist() for c in batch.columns)
-        counts = [len(s) - LENGTH + 1 for s in stretches]
-        heads = [xxhash.xxh64_intdigest(s[i : i + LENGTH]) for s, n in zip(stretches, counts) for i in range(n)]
-        columns = [np.repeat(np.array(c, np.int64), counts) for c in (a, x, ids)]
-        shift = np.concatenate([np.arange(n) for n in counts]) if counts else np.array([], np.int64)
-        heads = np.array(heads, np.uint64).view(np.int64)
-        yield _batch("a x id shift head", [*columns, shift.astype(np.int32), heads], kinds)
+        a, ids, keys, los, ns, stretches = (c.to_pylist() for c in batch.columns)
+        heads = [xxhash.xxh64_intdigest(s[i : i + LENGTH]) for s, n in zip(stretches, ns) for i in range(n)]
+        columns = [np.repeat(np.array(c, np.int64), ns) for c in (a, ids, keys)]
+        columns += [np.repeat(np.array(c, np.int32), ns) for c in (los, ns)]
+        shift = np.concatenate([np.arange(n, dtype=np.int32) for n in ns]) if ns else np.array([], np.int32)
+        yield _batch("a id text_key lo n shift head", [*columns, shift, np.array(heads, np.uint64).view(np.int64)], kinds)
+
+
+def _crowds(phrases: DataFrame, staged: Staged) -> DataFrame:
+    """Masks of the windows that an earlier row has, without groups by trigger."""
+    suffixes = staged.write(phrases.select("a", "id", "text_key", "lo", "n", "stretch").mapInArrow(_suffixes, SUFFIXES))
+    first = suffixes.groupBy("a", "head").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    later = suffixes.join(first.select("a", "head", "first"), ["a", "head"]).where("id > first")
+    mask = F.bit_or(F.expr("shiftleft(1L, shift)")).alias("mask")
+    return later.groupBy("id", "text_key", "lo", "n").agg(mask).select("id", "text_key", "lo", "n", "mask")
 
 
 def _runs(spans: list[dict], size: int) -> list[tuple[int, int]]:
@@ -328,39 +475,49 @@ def repeats(
     own = [F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carry)]
     keys = [F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text")]
     read = docs.select(*own, *keys)
-    row = F.xxhash64("id", "text_key")
     searched = (F.col("id").isNotNull()) & (F.octet_length("text") >= LENGTH)
     # Bytes of all texts give the number of hash ranges; one scan, one row.
     size = read.where(searched).agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     bits = max(3, int(size // RANGE_BYTES).bit_length())
-    packed = read.where(searched).select(row.alias("row"), "text").mapInArrow(_pack(bits), PACKED)
-    met = packed.repartition(F.col("range")).sortWithinPartitions("range").mapInArrow(_meet, SHARED)
-    shared = staged.write(met)
+    packed = read.where(searched).select(F.col("text_key").alias("row"), "text").mapInArrow(_pack(bits), PACKED)
+    met = packed.repartition(F.col("range")).sortWithinPartitions("range").mapInArrow(_meet, MET)
+    shared = staged.write(met.repartition(F.col("batch")).sortWithinPartitions("batch").mapInArrow(_by_row, SHARED))
     staged.free()
-    by_row = shared.groupBy("row").agg(F.collect_list(F.struct("range", "rests")).alias("shared"))
-    of_row = by_row.withColumnRenamed("row", "_row")
-    texts = staged.write(read.withColumn("row", row).join(of_row, F.col("row") == F.col("_row"), "left").drop("row", "_row"))
+    # Of equal texts all but the one with the smallest id are repeated as a whole.
+    equal = read.where(searched).select("id", F.col("text_key").alias("row"), F.md5("text").alias("md5"))
+    equal = equal.groupBy("row", "md5").agg(F.min("id").alias("least"), F.max("id").alias("last")).where("least < last")
+    told = shared.select("row", "triggers", F.lit(None).cast("struct<md5:string,least:bigint>").alias("copies"))
+    told = told.unionByName(equal.select("row", F.lit(None).cast("binary").alias("triggers"), F.struct("md5", "least").alias("copies")))
+    by_row = told.groupBy(F.col("row").alias("_row")).agg(
+        F.collect_list("triggers").alias("shared"), F.collect_list("copies").alias("copies")
+    )
+    joined = read.join(by_row, F.col("text_key") == F.col("_row"), "left").drop("_row")
+    # Texts with equal keys may still differ, so the digest decides.
+    copy = F.exists("copies", lambda c: (c["least"] < F.col("id")) & (c["md5"] == F.md5("text")))
+    joined = joined.withColumn("copy", F.coalesce(searched & (F.size("copies") > 0) & copy, F.lit(False))).drop("copies")
+    texts = staged.write(joined)
     staged.drop(shared)
     staged.free()
 
-    some = texts.where(searched & F.col("shared").isNotNull()).select("id", "text_key", "text", "shared")
+    some = texts.where(searched & ~F.col("copy") & (F.size("shared") > 0)).select("id", "text_key", "text", "shared")
     phrases = staged.write(some.mapInArrow(_phrases(bits), PHRASES))
-    least = staged.write(phrases.groupBy("a", "x").agg(F.min("id").alias("least")))
-    several = least.groupBy("a").agg(F.count("*").alias("phrases")).where("phrases > 1").select("a")
-    open_ = least.join(several, "a").select("a", "x", F.col("least").alias("id"))
-    # One text for each phrase: all rows that have it have the same.
-    bodies = phrases.select("a", "x", "id", "stretch").join(open_, ["a", "x", "id"]).groupBy("a", "x", "id").agg(F.first("stretch").alias("stretch"))
-    suffixes = staged.write(bodies.select("a", "x", "id", "stretch").mapInArrow(_suffixes, SUFFIXES))
+    by_trigger = phrases.where(F.col("kind").isin(CROWDED, PHRASE)).repartition(F.col("a")).sortWithinPartitions("a", "kind")
+    settled = staged.write(by_trigger.mapInArrow(_order, SPANS))
     staged.free()
-    first = suffixes.groupBy("a", "head").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    later = suffixes.join(first, ["a", "head"]).where("id > first")
-    masks = later.groupBy("a", "x").agg(F.bit_or(F.expr("shiftleft(1L, shift)")).alias("mask"))
-    known = least.join(masks, ["a", "x"], "left")
-    whole = F.col("id") > F.col("least")
-    span = F.struct("lo", "n", F.when(~whole, F.col("mask")).alias("mask"))
-    lost = phrases.select("a", "x", "id", "text_key", "lo", "n").join(known, ["a", "x"]).where(whole | F.col("mask").isNotNull())
-    spans = staged.write(lost.groupBy("id", "text_key").agg(F.collect_list(span).alias("spans")))
+    crowd = phrases.where(F.col("kind") == CROWD).unionByName(settled.where(F.col("a").isNotNull()), allowMissingColumns=True)
+    whole = F.lit(None).cast("long").alias("mask")
+    lost = (
+        settled.where(F.col("a").isNull())
+        .select("id", "text_key", "lo", "n", "mask")
+        .unionByName(phrases.where(F.col("kind") == DONE).select("id", "text_key", "lo", "n", whole))
+        .unionByName(_crowds(crowd, staged))
+    )
+    by_text = lost.groupBy("id", "text_key").agg(F.collect_list(F.struct("lo", "n", "mask")).alias("spans"))
+    spans = staged.write(by_text)
+    staged.drop(phrases)
+    staged.drop(settled)
     staged.free()
+    whole_text = F.array(F.struct(F.lit(0).alias("lo"), (F.octet_length("text") - LENGTH + 1).alias("n"), F.lit(None).cast("long").alias("mask")))
     joined = texts.drop("shared").join(
         spans.select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), "spans"),
         (F.col("id") == F.col("_id")) & (F.col("text_key") == F.col("_key")),
@@ -368,7 +525,7 @@ def repeats(
     )
     own_types = [joined.schema[f"_c{i}"].dataType.simpleString() for i in range(len(carry))]
     schema = ", ".join([*[f"_c{i} {t}" for i, t in enumerate(own_types)], "n_bytes long, spans array<struct<start:long,end:long>>, kept " + ("string" if as_text else "binary")])
-    cut = joined.select(*[f"_c{i}" for i in range(len(carry))], "text", "spans").mapInArrow(_cut(len(carry), as_text), schema)
+    cut = joined.select(*[f"_c{i}" for i in range(len(carry))], "text", F.when(F.col("copy"), whole_text).otherwise(F.col("spans")).alias("spans")).mapInArrow(_cut(len(carry), as_text), schema)
     return cut.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)], "n_bytes", "spans", "kept")
 
 
@@ -418,3 +575,27 @@ def op6_prefix_free_parsing(spark, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+#: Every string of 50 bytes, by a hash of its hexadecimal digits, with the smallest id that has it.
+OP6_SQL = """WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+x AS (
+  SELECT doc_id, unnest(list_transform(range(0, greatest(0, length(h) // 2 - 49), 256),
+    lambda b: {'b': b, 'h': substr(h, 2 * b + 1, 610)})) AS u FROM d),
+w AS (
+  SELECT doc_id, v.p AS p, v.s AS s FROM (
+    SELECT doc_id, unnest(list_transform(range(0, length(u.h) // 2 - 49),
+      lambda i: {'p': u.b + i, 's': hash(substr(u.h, 2 * i + 1, 100))})) AS v FROM x)),
+f AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+c AS (SELECT w.doc_id, p FROM w JOIN f ON f.s = w.s WHERE w.doc_id > least),
+m AS (SELECT doc_id, p, sum(CASE WHEN p > before + 50 OR before IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS run
+      FROM (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM c)),
+r AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM m GROUP BY doc_id, run),
+k AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM r),
+t AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+        list(struct_pack(s := before, e := a) ORDER BY a) AS kept FROM k GROUP BY doc_id)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(CASE WHEN kept IS NULL THEN h ELSE
+    array_to_string(list_transform(kept, lambda x: substr(h, 2 * x.s + 1, 2 * (x.e - x.s))), '') || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)"""

@@ -44,11 +44,12 @@ def mixed(seed, n=60):
     return [(rng.choice([i, i, i, i // 2]), t) for i, t in enumerate(texts)] + [(None, texts[0]), (None, None), (7, None), (8, "")]
 
 
-@pytest.mark.parametrize("seed,bits", [(1, None), (2, None), (3, 5)])
-def test_like_all_strings(spark, monkeypatch, seed, bits):
-    if bits:
+@pytest.mark.parametrize("seed,crowd", [(1, None), (2, 3), (3, 0)])
+def test_like_all_strings(spark, monkeypatch, seed, crowd):
+    if crowd is not None:
         monkeypatch.setattr(suffixes, "RANGE_BYTES", 1 << 10)
-        monkeypatch.setattr(suffixes, "PACK", 50)
+        monkeypatch.setattr(suffixes, "PACK", 200)
+        monkeypatch.setattr(suffixes, "CROWD_SIZE", crowd)
     rows = mixed(seed)
     docs = make_docs(spark, rows).repartition(5)
     expected = slow([(k, (t or "").encode()) for k, t in rows])
