@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,9 @@ _FACTOR = [np.uint64(int(x) | 1) for x in _rng.integers(0, 2**63, 8, dtype=np.ui
 _LOW = np.uint64(63)
 
 #: Bytes of text per hash range, bytes a task parses at once, triggers it packs at once.
-RANGE_BYTES, PARSE_BYTES, PACK = 16 << 20, 1 << 20, 2_000_000
+RANGE_BYTES, PARSE_BYTES, PACK = 16 << 20, 1 << 20, 1_000_000
+#: Parts in which phrases are shuffled, one after the other, to need less disk at once.
+PARTS = 2
 #: Phrases of one trigger in one task from which on its windows are dealt by themselves.
 CROWD_SIZE = 512
 MANY = np.uint32(0xFFFFFFFF)
@@ -342,7 +345,7 @@ def _phrases(bits: int):
                             lost, found[phrase] = rows, [(key, text_key, start)]
                         for k, t, s in lost:
                             done.setdefault((k, t), []).append((s, end - start - LENGTH + 1))
-            if len(found) >= PACK // 4:
+            if len(found) >= PACK // 8:
                 yield from flush(found, done)
                 found, done = {}, {}
         yield from flush(found, done)
@@ -501,9 +504,13 @@ def repeats(
 
     some = texts.where(searched & ~F.col("copy") & (F.size("shared") > 0)).select("id", "text_key", "text", "shared")
     phrases = staged.write(some.mapInArrow(_phrases(bits), PHRASES))
-    by_trigger = phrases.where(F.col("kind").isin(CROWDED, PHRASE)).repartition(F.col("a")).sortWithinPartitions("a", "kind")
-    settled = staged.write(by_trigger.mapInArrow(_order, SPANS))
-    staged.free()
+    parts = []
+    for part in range(PARTS):
+        own = phrases.where(F.col("kind").isin(CROWDED, PHRASE) & (F.pmod("a", F.lit(PARTS)) == part))
+        by_trigger = own.repartition(F.col("a")).sortWithinPartitions("a", "kind")
+        parts.append(staged.write(by_trigger.mapInArrow(_order, SPANS)))
+        staged.free()
+    settled = reduce(DataFrame.unionByName, parts)
     crowd = phrases.where(F.col("kind") == CROWD).unionByName(settled.where(F.col("a").isNotNull()), allowMissingColumns=True)
     whole = F.lit(None).cast("long").alias("mask")
     lost = (
@@ -514,8 +521,8 @@ def repeats(
     )
     by_text = lost.groupBy("id", "text_key").agg(F.collect_list(F.struct("lo", "n", "mask")).alias("spans"))
     spans = staged.write(by_text)
-    staged.drop(phrases)
-    staged.drop(settled)
+    for done in (phrases, *parts):
+        staged.drop(done)
     staged.free()
     whole_text = F.array(F.struct(F.lit(0).alias("lo"), (F.octet_length("text") - LENGTH + 1).alias("n"), F.lit(None).cast("long").alias("mask")))
     joined = texts.drop("shared").join(
