@@ -71,7 +71,7 @@ LICENSES = (
     ("zlib", "zlib", "zlib", "zlib(?: libpng)? license"),
     ("libpng", "libpng|png reference", "libpng(?: 2 0)?", rf"(?:png reference library|libpng) license(?: {_V}2)?"),
     ("unlicense", "unlicense", "unlicense", "(?:the )?unlicense"),
-    ("wtfpl", "do what the f", "wtfpl", "do what the f[^ ]* you want to public license"),
+    ("wtfpl", "you want to public license", "wtfpl", "do what the f[^ ]* you want to public license"),
     ("postgresql", "postgresql license", "postgresql", "postgresql license"),
     ("python-2.0", "python license|python software foundation license|psf license|python 2 0|psf 2 0", "(?:python|psf) 2 0", "(?:python software foundation|psf|python) license(?: agreement)?"),
     ("php-3.01", "php license", "php 3 01", rf"php license(?: {_V}3 0?1)?"),

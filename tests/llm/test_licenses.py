@@ -1,4 +1,7 @@
+import itertools
 import re
+from re import _constants as op
+from re import _parser
 
 import pytest
 
@@ -61,6 +64,42 @@ def test_keywords_miss_no_match(text):
     assert slow(text, RULES) == whole
 
 
+def samples(parsed):
+    """Texts that match a parsed pattern: each branch, optional part and listed letter, in all combinations."""
+    return ["".join(parts) for parts in itertools.product(*[some(kind, value) for kind, value in parsed])]
+
+
+def some(kind, value):
+    if kind is op.LITERAL:
+        return [chr(value)]
+    if kind is op.NOT_LITERAL:
+        return ["x"]
+    if kind is op.IN:
+        return ["x"] if value[0][0] is op.NEGATE else [chr(c) for k, v in value for c in ([v] if k is op.LITERAL else v[:1])]
+    if kind is op.BRANCH:
+        return [t for branch in value[1] for t in samples(branch)]
+    if kind is op.SUBPATTERN:
+        return samples(value[-1])
+    assert kind in (op.MAX_REPEAT, op.MIN_REPEAT), kind
+    least, most, inner = value
+    return [t * n for t in samples(inner) for n in {least, min(most, least + 1)}]
+
+
+def test_keywords_miss_no_alternative_of_any_rule():
+    for rule in RULES:
+        for text in set(samples(_parser.parse(rule.regex))):
+            whole = f" {text} "
+            assert re.search(f" ({rule.regex})(?= )", whole), (rule, text)
+            assert any(f" {k} " in whole for k in rule.keywords), (rule, text)
+
+
+def test_name_of_wtfpl(spark):
+    name = "Do What The Fuck You Want To Public License"
+    for text, number in ((name, MENTION), (f"Released under the terms of the {name}.", GRANT)):
+        row = scan(make_docs(spark, [(1, text)])).first()
+        assert [(d["label"], RULES[d["number"]].priority) for d in row.detections] == [("wtfpl", number)]
+
+
 def test_suppression():
     rules = (
         Rule("low", MENTION, 0.5, ("a",), "a b c d"), Rule("high", GRANT, 0.5, ("b",), "b c"),
