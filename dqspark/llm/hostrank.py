@@ -8,6 +8,7 @@ fits a page, its host's share of distrust decides.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,9 @@ from pyspark.sql import functions as F
 from dqspark.llm.staging import Staged
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-DAMPING, MAX_STEPS, CLOSE_ENOUGH, THRESHOLD = 0.85, 30, 1e-9, 0.5
+DAMPING, CLOSE_ENOUGH, THRESHOLD = 0.85, 1e-9, 0.5
+#: Steps in one plan, and the least score of a host that is reached.
+ROUND, LEAST = 8, sys.float_info.min
 #: Fixed rules of the registered query: (verdict, host and beginning of the path).
 RULES = (
     ("allow", "com/"),
@@ -76,37 +79,40 @@ def spread(edges: DataFrame, seeds: DataFrame, staged: Staged, damping: float =
 
     ``edges`` (kind, src, dst, w) and ``seeds`` (kind, host, weight); scores of a
     kind sum up to 1, what a host without way out holds returns to the seeds.
-    Steps end when no kind changes by more than CLOSE_ENOUGH in all, after
-    MAX_STEPS at the latest. Each is written to the shared folder; the driver
-    reads one number a step.
+    That only scales the sum over all walks from the seeds, so each step adds what
+    walks one link longer bring. Steps end when no host is reached for the first
+    time any more and no host's sum grows by more than CLOSE_ENOUGH of itself,
+    which holds from then on; hosts far from all seeds take a step a link. Each
+    ROUND of steps is written to the shared folder; the driver reads two numbers
+    a round. Sums too small for a double stay at the least normal one.
     """
     total = seeds.groupBy("kind").agg(F.sum("weight").alias("all"))
     start = staged.write(
-        seeds.join(total, "kind").where("weight > 0").select("kind", "host", (F.col("weight") / F.col("all")).alias("seed"))
+        seeds.join(total, "kind").where("weight > 0").select("kind", "host", (F.col("weight") / F.col("all")).alias("got"), (F.col("weight") / F.col("all")).alias("score"))
     )
     out = edges.groupBy("kind", "src").agg(F.sum("w").alias("all"))
-    shares = staged.write(
-        edges.join(out, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", (F.col("w") / F.col("all")).alias("share"))
+    shares = edges.join(out, ["kind", "src"]).select(
+        "kind", F.col("src").alias("host"), "dst", (damping * F.col("w") / F.col("all")).alias("share"), F.lit(0).alias("own")
     )
-    current = start.withColumnRenamed("seed", "score")
-    previous = None
-    for _ in range(MAX_STEPS):
-        sent = current.join(shares, ["kind", "host"]).select("kind", F.col("dst").alias("host"), (F.col("score") * F.col("share")).alias("got"))
-        got = sent.groupBy("kind", "host").agg((damping * F.sum("got")).alias("score"))
-        left = start.select("kind").distinct().join(got.groupBy("kind").agg(F.sum("score").alias("sum")), "kind", "left")
-        back = start.join(left, "kind").select(
-            "kind", "host", (F.col("seed") * (1 - F.coalesce("sum", F.lit(0.0)))).alias("score")
-        )
-        following = staged.write(got.unionByName(back).groupBy("kind", "host").agg(F.sum("score").alias("score")))
-        old = current.select("kind", "host", F.col("score").alias("old"))
-        gap = F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("old", F.lit(0.0)))
-        change = following.join(old, ["kind", "host"], "full").agg(F.sum(gap)).first()[0] or 0.0
-        if previous is not None:
-            staged.drop(previous)
-        previous = current = following
-        if change <= CLOSE_ENOUGH:
+    # A host's own row hands its sum on to the next step.
+    hosts = start.select("kind", "host").union(edges.select("kind", "src")).union(edges.select("kind", "dst")).distinct()
+    own = hosts.select("kind", "host", F.col("host").alias("dst"), F.lit(0.0).alias("share"), F.lit(1).alias("own"))
+    shares = staged.write(shares.unionByName(own))
+    current = start
+    while True:
+        following = current.select("kind", "host", "got", "score")
+        for _ in range(ROUND):
+            sent = following.join(shares, ["kind", "host"]).groupBy("kind", F.col("dst").alias("host"))
+            sent = sent.agg(F.sum(F.col("got") * F.col("share")).alias("got"), F.sum(F.col("score") * F.col("own")).alias("old"), F.max("own").alias("known"))
+            following = sent.select("kind", "host", "got", F.greatest(F.col("old") + F.col("got"), F.lit(LEAST)).alias("score"), "known")
+        following = staged.write(following)
+        growth, known = following.agg(F.max(F.col("got") / F.col("score")), F.min("known")).first()
+        staged.drop(current)
+        current = following
+        if known != 0 and (growth or 0.0) <= CLOSE_ENOUGH:
             break
-    return current
+    total = current.groupBy("kind").agg(F.sum("score").alias("all"))
+    return current.join(total, "kind").select("kind", "host", (F.col("score") / F.col("all")).alias("score"))
 
 
 def judge_urls(

@@ -114,6 +114,32 @@ def test_ranks_sum_to_one_and_converge(spark):
     assert found == pytest.approx(expected, abs=0.01)
 
 
+@pytest.mark.parametrize("length", [40, 200])
+def test_chain_of_hosts_to_a_blocked_seed(spark, length):
+    urls = [f"http://h{i}.org/" for i in range(length)] + ["http://b.net/es/1"]
+    rows = [(i, u, f"<a href='{after}'>") for i, (u, after) in enumerate(zip(urls, urls[1:] + [""]))]
+    found = {r.id: r for r in judge_urls(pages(spark, rows + [(-1, "http://far.org/", "")])).collect()}
+    assert found.pop(-1).verdict == "allow"
+    every = sum(DAMPING**n for n in range(length + 1))
+    for i, r in found.items():
+        assert r.verdict == "block" and r.trust == 0
+        assert r.distrust == pytest.approx(DAMPING ** (length - i) / every, rel=1e-6)
+
+
+def test_slowly_mixing_graph_converges(spark):
+    edges = {("a", "b"): 1, ("b", "a"): 1, ("b", "c"): 1, ("c", "b"): 1, ("c", "d"): 1, ("d", "c"): 3}
+    listed = spark.createDataFrame([("k", s, d, float(w)) for (s, d), w in edges.items()], "kind string, src string, dst string, w double")
+    seeds = spark.createDataFrame([("k", "a", 1.0)], "kind string, host string, weight double")
+    found = {r.host: r.score for r in spread(listed, seeds, Staged(spark, "t")).collect()}
+    assert found == pytest.approx(slow_rank(edges, {"a": 1}, 400), rel=1e-7)
+
+
+def test_scores_beyond_doubles_stay_above_zero(spark):
+    edges = spark.createDataFrame([("k", "a", "b", 1e-200), ("k", "a", "z", 1e200), ("k", "b", "c", 1.0)], "kind string, src string, dst string, w double")
+    seeds = spark.createDataFrame([("k", "a", 1.0)], "kind string, host string, weight double")
+    assert {r.host for r in spread(edges, seeds, Staged(spark, "t")).where("score > 0").collect()} == set("abcz")
+
+
 def test_no_rows_and_no_seeds(spark):
     none = pages(spark, [(1, "http://c.org/", "")])
     assert [r.verdict for r in judge_urls(none).collect()] == ["allow"]
