@@ -5,10 +5,11 @@ window of LENGTH bytes the one with the least hash is a trigger, so equal
 windows have equal triggers at equal places, and each window belongs to one
 trigger. The windows of a trigger lie in a short stretch of text, its phrase
 with what surrounds it. Distinct phrases are the dictionary, each text is a
-sequence of them, and only in the dictionary are suffixes brought into order:
-for windows of LENGTH bytes all that matters are the runs of suffixes that agree
-in so many bytes, and such suffixes share their trigger. A phrase that an
-earlier document has as a whole needs no suffixes at all.
+sequence of them. No suffix array is built, of the dictionary or of the parse:
+for windows of LENGTH bytes all that matters is which of them are equal, not
+their order, and equal ones share their trigger. So windows are matched by hash
+within a trigger. A phrase that an earlier document has as a whole needs no
+windows at all.
 
 The steps, all of them Spark jobs over rows that grow with the input:
 
@@ -17,7 +18,7 @@ The steps, all of them Spark jobs over rows that grow with the input:
    one with the smallest id goes on; the others are repeated as a whole.
 2. Documents write down the phrases of those triggers.
 3. By trigger, the smallest id of each phrase is found; where a trigger has
-   several phrases, the suffixes of the dictionary tell which windows of the one
+   several phrases, a hash table of their windows tells which windows of the one
    are in another.
 4. The covered bytes are cut out.
 """
@@ -370,9 +371,9 @@ SPANS = "id long, text_key long, lo int, n int, mask long, a long, stretch binar
 def _order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Step 3, for rows sorted by trigger and kind: which windows an earlier row has.
 
-    A trigger's phrases are the dictionary; their suffixes of LENGTH bytes are
-    taken in the order of the ids that have them first. Phrases of crowded
-    triggers are passed on with their stretch.
+    A trigger's phrases are taken in the order of the ids that have them first;
+    a dict has the first id of each of their windows. Phrases of crowded triggers
+    are passed on with their stretch.
     """
 
     def settle(rows: list[tuple]) -> Iterator[tuple]:
