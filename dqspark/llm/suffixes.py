@@ -265,13 +265,17 @@ SHARED = "row long, triggers binary"
 
 
 def _by_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """End of step 1, for rows sorted by batch: the shared triggers (range and rest) of each row."""
+    """End of step 1, for rows sorted by batch: the shared triggers (range and rest) of each row.
+
+    They are sorted, so that equal texts of several batches have equal lists.
+    """
 
     def finish(parts: list) -> Iterator[pa.RecordBatch]:
         rows = np.concatenate([np.frombuffer(r, "<i8")[np.frombuffer(o, "<u4")] for _, r, o, _ in parts])
         found = [np.frombuffer(s, "<u4").astype("<u8") | np.uint64(number << 32) for number, _, _, s in parts]
-        order = np.argsort(rows, kind="stable")
-        rows, triggers = rows[order], np.concatenate(found)[order]
+        triggers = np.concatenate(found)
+        order = np.lexsort((triggers, rows))
+        rows, triggers = rows[order], triggers[order]
         cuts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
         stops = np.append(cuts[1:], len(rows))
         for i in range(0, len(cuts), 4096):
@@ -493,13 +497,13 @@ def repeats(
     told = shared.select("row", "triggers", F.lit(None).cast("struct<md5:string,least:bigint>").alias("copies"))
     told = told.unionByName(equal.select("row", F.lit(None).cast("binary").alias("triggers"), F.struct("md5", "least").alias("copies")))
     by_row = told.groupBy(F.col("row").alias("_row")).agg(
-        F.collect_list("triggers").alias("shared"), F.collect_list("copies").alias("copies")
+        F.collect_set("triggers").alias("shared"), F.collect_list("copies").alias("copies")
     )
     joined = read.join(by_row, F.col("text_key") == F.col("_row"), "left").drop("_row")
     # Texts with equal keys may still differ, so the digest decides.
     copy = F.exists("copies", lambda c: (c["least"] < F.col("id")) & (c["md5"] == F.md5("text")))
     joined = joined.withColumn("copy", F.coalesce(searched & (F.size("copies") > 0) & copy, F.lit(False))).drop("copies")
-    texts = staged.write(joined)
+    texts = staged.write(joined.withColumn("shared", F.when(~F.col("copy"), F.col("shared"))))
     staged.drop(shared)
     staged.free()
 

@@ -28,6 +28,21 @@ def slow(rows):
     return out
 
 
+def staged_with(monkeypatch, column):
+    """Tables with that column, as they are staged from now on."""
+    seen = []
+
+    class Seen(suffixes.Staged):
+        def write(self, df):
+            out = super().write(df)
+            if column in df.columns:
+                seen.append([r.asDict() for r in out.collect()])
+            return out
+
+    monkeypatch.setattr(suffixes, "Staged", Seen)
+    return seen
+
+
 def mixed(seed, n=60):
     """Texts with shared passages, near copies, repetitions and characters of several bytes."""
     rng = random.Random(seed)
@@ -107,6 +122,16 @@ def test_awkward_rows(awkward, nothing):
     assert drop_repeats(nothing).count() == 0
 
 
+def test_triggers_of_equal_texts_once(spark, monkeypatch):
+    seen, text = staged_with(monkeypatch, "copy"), prose(5, 80)
+    docs = make_docs(spark, [(i, text) for i in range(40)] + [(100, text + " and " + prose(6, 40))]).repartition(5)
+    assert [r.doc_id for r in repeats(docs, carry=("doc_id",)).where("size(spans) = 0").collect()] == [0]
+    (texts,) = seen
+    assert [r["id"] for r in texts if not r["copy"]] and sum(r["copy"] for r in texts) == 39
+    assert {r["shared"] and len(r["shared"]) for r in texts} == {None, 1}
+    assert all(r["copy"] == (r["shared"] is None) for r in texts)
+
+
 def test_broken_characters_go(spark):
     shared = "é" * 40
     docs = make_docs(spark, [(1, "a" + shared), (2, "b" + shared[:30] + "漢" * 30)])
