@@ -56,6 +56,9 @@ RANGE_BYTES, PARSE_BYTES, PACK = 16 << 20, 1 << 20, 1_000_000
 PARTS = 2
 #: Phrases of one trigger in one task from which on its windows are dealt by themselves.
 CROWD_SIZE = 512
+#: Phrases of one trigger in all tasks together, equal ones of several tasks counted each,
+#: beyond which the same is done. So no group of step 3 holds more.
+CROWD_ROWS = 8192
 MANY = np.uint32(0xFFFFFFFF)
 
 
@@ -509,14 +512,18 @@ def repeats(
 
     some = texts.where(searched & ~F.col("copy") & (F.size("shared") > 0)).select("id", "text_key", "text", "shared")
     phrases = staged.write(some.mapInArrow(_phrases(bits), PHRASES))
+    counted = phrases.where(F.col("kind") == PHRASE).groupBy("a").agg(F.count("*").alias("rows"))
+    crowded = staged.write(counted.where(F.col("rows") > CROWD_ROWS).select("a"))
     parts = []
     for part in range(PARTS):
         own = phrases.where(F.col("kind").isin(CROWDED, PHRASE) & (F.pmod("a", F.lit(PARTS)) == part))
+        own = own.join(crowded, "a", "left_anti").select(*phrases.columns)
         by_trigger = own.repartition(F.col("a")).sortWithinPartitions("a", "kind")
         parts.append(staged.write(by_trigger.mapInArrow(_order, SPANS)))
         staged.free()
     settled = reduce(DataFrame.unionByName, parts)
     crowd = phrases.where(F.col("kind") == CROWD).unionByName(settled.where(F.col("a").isNotNull()), allowMissingColumns=True)
+    crowd = crowd.unionByName(phrases.where(F.col("kind") == PHRASE).join(crowded, "a", "left_semi"), allowMissingColumns=True)
     whole = F.lit(None).cast("long").alias("mask")
     lost = (
         settled.where(F.col("a").isNull())
@@ -526,7 +533,7 @@ def repeats(
     )
     by_text = lost.groupBy("id", "text_key").agg(F.collect_list(F.struct("lo", "n", "mask")).alias("spans"))
     spans = staged.write(by_text)
-    for done in (phrases, *parts):
+    for done in (phrases, crowded, *parts):
         staged.drop(done)
     staged.free()
     whole_text = F.array(F.struct(F.lit(0).alias("lo"), (F.octet_length("text") - LENGTH + 1).alias("n"), F.lit(None).cast("long").alias("mask")))

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -32,7 +33,7 @@ def staged_with(monkeypatch, column):
     """Tables with that column, as they are staged from now on."""
     seen = []
 
-    class Seen(suffixes.Staged):
+    class Seen(suffixes.Staged):  # may be stacked
         def write(self, df):
             out = super().write(df)
             if column in df.columns:
@@ -132,6 +133,18 @@ def test_triggers_of_equal_texts_once(spark, monkeypatch):
     assert all(r["copy"] == (r["shared"] is None) for r in texts)
 
 
+def test_triggers_crowded_only_over_all_tasks(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "CROWD_ROWS", 12)
+    grouped, dealt, line = staged_with(monkeypatch, "stretch"), staged_with(monkeypatch, "head"), prose(3, 30)
+    rows = [(i, f"{prose(100 + i, 12)} {line} {prose(300 + i, 12)}") for i in range(40)]
+    found = repeats(make_docs(spark, rows).repartition(20), carry=("doc_id",)).select("doc_id", "spans").collect()
+    expected = {k: s for (k, _), s in zip(rows, slow([(k, t.encode()) for k, t in rows]))}
+    assert {r.doc_id: [tuple(s) for s in r.spans] for r in found} == expected
+    counts = Counter(r["a"] for r in grouped[0] if r["kind"] == suffixes.PHRASE)
+    crowded = {a for a, n in counts.items() if n > 12}
+    assert crowded and {r["a"] for t in dealt for r in t} == crowded
+
+
 def test_broken_characters_go(spark):
     shared = "é" * 40
     docs = make_docs(spark, [(1, "a" + shared), (2, "b" + shared[:30] + "漢" * 30)])
