@@ -2,54 +2,63 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dqspark import fixed
 from dqspark.functions import numbers
-from dqspark.operators.ranks import long_numbers, quantile_table, quantiles, scalar_struct, value_counts
+from dqspark.operators.medians import exact_medians
+from dqspark.operators.ranks import scalar_struct
 from dqspark.operators.skew import spread_join
 from dqspark.session import stage
 
 
-def _medians(df: DataFrame, columns):
-    return scalar_struct(quantiles(df, columns, [0.5]), columns, {"median": F.col("q")[0]})
-
+def impute_medians(df: DataFrame, columns: Sequence[str], by_group: Sequence[str] = (), group: str = "state") -> DataFrame:
+    """Fill ``columns`` with their own medians, ``by_group`` with those of the row's group.
 
-def impute_global_median(df: DataFrame, columns) -> DataFrame:
-    """Fill each column with its own median; absent columns are skipped."""
-    cols = [c for c in columns if c in df.columns]
+    All medians come from one scan of ``df`` as it is given, so no fill changes
+    another. Rows without a group, and groups without a value, take the overall
+    median, as does every row when the group column does not exist. Absent
+    columns are skipped.
+    """
+    cols = [c for c in dict.fromkeys([*columns, *by_group]) if c in df.columns]
     if not cols:
         return df
-    filled = df.withColumn("_m", _medians(df, cols))
-    return filled.withColumns(
-        {c: F.coalesce(numbers.numeric(df, c), F.col("_m")[c]["median"]) for c in cols}
-    ).drop("_m")
+    grouped = [c for c in by_group if c in df.columns] if group in df.columns else []
+    medians = exact_medians(df, cols, group if grouped else None, grouped)
+    if grouped:
+        medians = stage(medians)
+    overall = scalar_struct(medians.where("whole"), cols, {"median": F.col("median")})
+    filled = df
+    if grouped:
+        per_column = [F.max(F.when(F.col("column") == c, F.col("median"))).alias(f"_of_{c}") for c in grouped]
+        table = (
+            medians.where(~F.col("whole"))
+            .groupBy(F.col("group").alias("_group"))
+            .agg(F.max("total").alias("_total"), *per_column)
+        )
+        total = medians.where("whole").agg(F.coalesce(F.max("total"), F.lit(0))).scalar()
+        rows = df.withColumn("_group", F.col(f"`{group}`").cast("string"))
+        filled = spread_join(rows, table, ["_group"], [f"_of_{c}" for c in grouped], F.col("_total"), total)
+    filled = filled.withColumn("_all", overall)
 
+    def value(c: str):
+        own = [F.col(f"_of_{c}")] if c in grouped else []
+        return F.coalesce(numbers.numeric(df, c), *own, F.col("_all")[c]["median"])
 
-def impute_group_median(df: DataFrame, column: str = "income", group: str = "state") -> DataFrame:
-    """Fill with the median of the row's group, else with the overall median.
+    return filled.withColumns({c: value(c) for c in cols}).select(*[F.col(f"`{c}`") for c in df.columns])
 
-    Rows without a group take the overall median, as does every row when the
-    group column does not exist.
-    """
-    if column not in df.columns:
-        return df
-    if group not in df.columns:
-        return impute_global_median(df, [column])
-    # One scan: the counts of the groups add up to those of the column.
-    counts = stage(value_counts(long_numbers(df, [column], [group]), [group, "column"]))
-    by_group = quantile_table(counts.where(F.col(group).isNotNull()).drop("column"), [group], [0.5])
-    overall = quantile_table(counts.groupBy("column", "value").agg(F.sum("n").alias("n")), ["column"], [0.5])
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).scalar()
-    medians = by_group.withColumn("_median", F.col("q")[0])
-    joined = spread_join(df, medians, [group], ["_median"], F.col("total"), total)
-    filled = F.coalesce(numbers.numeric(df, column), F.col("_median"), F.col("_all")[column]["median"])
-    return (
-        joined.withColumn("_all", scalar_struct(overall, [column], {"median": F.col("q")[0]}))
-        .withColumn(column, filled)
-        .drop("_median", "_all")
-    )
+
+def impute_global_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Fill each column with its own median; absent columns are skipped."""
+    return impute_medians(df, columns)
+
+
+def impute_group_median(df: DataFrame, column: str = "income", group: str = "state") -> DataFrame:
+    """Fill with the median of the row's group, else with the overall median."""
+    return impute_medians(df, [], [column], group)
 
 
 def impute_constant(df: DataFrame, column: str = "city", value: str = fixed.CITY_DEFAULT) -> DataFrame:
@@ -60,10 +69,7 @@ def impute_constant(df: DataFrame, column: str = "city", value: str = fixed.CITY
 
 def handle_missing(df: DataFrame, group: str = "state") -> DataFrame:
     """Age and satisfaction by median, income by group median, city by a constant."""
-    filled = impute_group_median(df, "income", group)
-    # Each median still refers to the untouched column: no step reads another's output.
-    filled = impute_global_median(filled, ["age", "satisfaction_score"])
-    return impute_constant(filled).select(*df.columns)
+    return impute_constant(impute_medians(df, ["age", "satisfaction_score"], ["income"], group)).select(*df.columns)
 
 
 STRATEGY_SCHEMA = "coluna string, missing_percent double, estrategia string"
@@ -82,7 +88,8 @@ def missing_strategy(df: DataFrame, group: str = "state") -> DataFrame:
 
     counts = df.agg(F.count("*").alias("total"), *[missing(c).alias(c) for c in order])
     if by_median:
-        counts = counts.withColumn("_m", _medians(df, by_median))
+        medians = exact_medians(df, by_median)
+        counts = counts.withColumn("_m", scalar_struct(medians, by_median, {"median": F.col("median")}))
     income_text = fixed.MISSING_TEXTS["group"].format(group=group) if group in df.columns else fixed.MISSING_TEXTS["global_only"]
 
     def text(c: str):

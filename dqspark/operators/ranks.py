@@ -98,7 +98,7 @@ def _covers(rank: Column) -> Column:
     return (rank >= F.col("before")) & (rank < F.col("before") + F.col("n"))
 
 
-def _ends(sliced: DataFrame, totals: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+def quantile_ends(sliced: DataFrame, totals: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """``(keys..., total, _low0.., _high0..)``: the values around each quantile."""
     place = [F.lit(float(p)) * (F.col("total") - 1) for p in probs]
     low, high = [F.floor(x) for x in place], [F.ceil(x) for x in place]
@@ -112,7 +112,7 @@ def _ends(sliced: DataFrame, totals: DataFrame, keys: Sequence[str], probs: Sequ
 
 
 def _ends_of_sample(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """Like ``_ends`` for a column's sample, which SAMPLE_ROWS bounds."""
+    """Like ``quantile_ends`` for a column's sample, which SAMPLE_ROWS bounds."""
     place = [F.lit(float(p)) * (F.col("total") - 1) for p in probs]
     whole = W.partitionBy("column").orderBy("value").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     placed = counts.withColumn("before", _running(["column"])).withColumn("total", F.sum("n").over(whole))
@@ -144,7 +144,7 @@ def quantiles_of_slices(
     sliced: DataFrame, totals: DataFrame, keys: Sequence[str], probs: Sequence[float]
 ) -> DataFrame:
     """``quantile_table`` of counts that are sliced already."""
-    return _interpolated(_ends(sliced, totals, keys, probs), keys, probs)
+    return _interpolated(quantile_ends(sliced, totals, keys, probs), keys, probs)
 
 
 def quantiles(
@@ -170,7 +170,7 @@ def _bracketed(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) ->
     if set(brackets) != set(columns):
         return None
     coarse = df.select(*[_coarse(numeric(df, c), brackets[c]).alias(c) for c in columns])
-    ends = _ends(*slices(value_counts(long_numbers(coarse, columns), ["column"]), ["column"]), ["column"], probs)
+    ends = quantile_ends(*slices(value_counts(long_numbers(coarse, columns), ["column"]), ["column"]), ["column"], probs)
     rows = ends.collect()  # one row per column
     inside = all(
         any(low <= value <= high for low, high in brackets[row["column"]])

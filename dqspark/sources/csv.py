@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dqspark.fixed import NA_TOKENS
+from dqspark.sources.records import csv_records
 
 PROCESSED_SCHEMA = (
     "customer_id string, customer_name string, email string, age double, gender string, "
@@ -29,33 +30,45 @@ def null_tokens(df: DataFrame, tokens=NA_TOKENS) -> DataFrame:
     )
 
 
-def load_raw(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def load_raw(spark: SparkSession, path: str) -> DataFrame:
     """Raw CSV: every column as text, missing tokens as NULL.
 
-    The header line alone gives the schema, so nothing is read for inference.
-    Line breaks inside quotes belong to the field, so one file is read by one
-    task; stage the result once (``session.stage``) before much work is done on
-    it. For large files known to have no such breaks, ``multi_line=False`` lets
-    many tasks share a file.
+    The header alone gives the schema. Line breaks inside quotes belong to the
+    field, and yet a large file is read by many tasks, see ``records``.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("encoding", "UTF-8")
-    )
-    return null_tokens(reader.csv(path))
+    options = {"header": "true", "inferSchema": "false", "escape": '"', "multiLine": "true", "encoding": "UTF-8"}
+    head = spark.read.options(**options).csv(path)
+    if not head.columns:
+        return head
+    names = ", ".join(f"`{c.replace('`', '``')}` string" for c in head.columns)
+    rows = csv_records(spark, path).where(~F.col("first"))
+    fields = F.from_csv("value", names, {"escape": '"', "multiLine": "true"})
+    return null_tokens(rows.select(fields.alias("_fields")).select("_fields.*"))
 
 
-def load_processed(spark: SparkSession, path: str, file_format: str = "csv") -> DataFrame:
-    """Processed customers with their declared types."""
+def load_processed(spark: SparkSession, path: str, file_format: str = "csv", rescued: str | None = None) -> DataFrame:
+    """Processed customers with their declared types.
+
+    A cell that is no value of its column's type becomes NULL and fails nothing.
+    ``rescued`` names an extra column that keeps such cells: a map from column
+    to text, NULL for rows without any.
+    """
     if file_format == "parquet":
         return null_tokens(spark.read.schema(PROCESSED_SCHEMA).parquet(path))
     # Read as text first: a missing token in a number must not spoil its row.
     wanted = T.StructType.fromDDL(PROCESSED_SCHEMA)
     raw = load_raw(spark, path)
-    return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted])
+    typed = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in wanted}
+    out = [c.alias(name) for name, c in typed.items()]
+    if rescued is not None:
+        lost = [
+            F.when(F.col(f"`{f.name}`").isNotNull() & typed[f.name].isNull(), F.struct(F.lit(f.name).alias("name"), F.col(f"`{f.name}`").alias("text")))
+            for f in wanted
+            if not isinstance(f.dataType, T.StringType)
+        ]
+        cells = F.filter(F.array(*lost), lambda x: x.isNotNull())
+        out.append(F.when(F.size(cells) > 0, F.map_from_entries(cells)).alias(rescued))
+    return raw.select(*out)
 
 
 def save_frame(df: DataFrame, path: str, single_file: bool = False) -> None:

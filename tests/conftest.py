@@ -13,12 +13,21 @@ RAW_COLUMNS = [
     "Customer ID", "Customer Name", "Email", "Age", "Gender", "City", "State", "Signup Date",
     "Income", "Purchase Count", "Total Spent", "Satisfaction Score",
 ]
+#: One row per trap: title case inside words, odd spaces, money layouts, halves, no
+#: group, no number, short years, a date that is missing and one that ties.
+_COPIED = ("C-11", "Davi\u00a0 Couto ", "DAVI@exemplo.org", "52", "masc", "Natal", "RN", "2022/11/30", "R$ 3.250,75", "8", "R$ 990,10", "3.2")
 RAW_ROWS = [
-    ("K-1", "BENTO PRADO", "BENTO@CORREIO.COM", "41", "M", "Campinas", "SP", "2023-05-09", "2750", "7", "830", "2.5"),
-    ("K-2", "Iara Nunes", " iara@correio.com", "17", "fem", "Niterói", "Rio de Janeiro", "2023/08/21", "7.900", "4", "R$ 2.040,00", "4.0"),
-    ("K-3", "bento  prado ", "bento@correio.com", "41", "Masc", None, "sp", "09/05/2023", "R$ 2.750,00", "7", "830", "2.5"),
-    ("K-1", "BENTO PRADO", "BENTO@CORREIO.COM", "41", "M", "Campinas", "SP", "2023-05-09", "2750", "7", "830", "2.5"),
-    ("K-4", "  Caio   Teles", "caio@correio.com", "203", "male", "Londrina", "pr", "30-11-2023", "R$ 1.480,00", "9", "615", None),
+    ("C-10", "rosa d'ávila-lima", "rosa@exemplo.org", "34", "Feminino", "Recife", "Pernambuco", "2021-02-03", "4100", "3", "1200", "4.1"),
+    _COPIED,
+    ("C-12", "Otto Reis", "otto.exemplo.org", "29", "Não binário", "Belém", "Atlantis", "20220705", "0.125", "2.5", "77", "2.8"),
+    ("C-13", "Nair Paes", None, "1d", None, None, None, "03/02/21", "1.234.56", "4", "1e3", None),
+    ("C-14", "Otto Reiss", "otto@exemplo.org", "16", "M", "Belém", "PA", "15-08-2022", "2600", "1", "60", "5.0"),
+    ("C-15", "Yara Melo", "yara@exemplo.org", "45", "F", "Vitória", "ES", None, "5200", "6", "410", "3.9"),
+    ("C-15", "Yara Melo", "yara@exemplo.org", "45", "F", "Vitória", "ES", "2023-01-09", "5300", "7", "480", "3.9"),
+    ("C-16", "Ugo Sá", "ugo@exemplo.org", "130", "M", "Manaus", "AM", "2020-06-01", "1800", "2", "35", "1.5"),
+    ("C-16", "Ugo Sá", "ugo@exemplo.org", "130", "M", "Manaus", "AM", "2020-06-01", "1800", "5", "35", "1.5"),
+    _COPIED,
+    _COPIED,
 ]
 CLEAN_SCHEMA = (
     "customer_id string, customer_name string, email string, email_valido boolean, age double, gender string, "
@@ -26,10 +35,11 @@ CLEAN_SCHEMA = (
     "satisfaction_score double"
 )
 CLEAN_ROWS = [
-    ("K-1", "Bento Prado", "bento@correio.com", True, 41.0, "masculino", "Campinas", "SP", "2023-05-09", 2750.0, 7, 830.0, 2.5),
-    ("K-2", "Iara Nunes", "iara@correio.com", True, 26.0, "feminino", "Niterói", "RJ", "2023-08-21", 7900.0, 4, 2040.0, 4.0),
-    ("K-3", "Caio Teles", "caio@correio.com", True, 58.0, "masculino", "unknown", "PR", "2023-11-30", 1480.0, 9, 615.0, 3.5),
-    ("K-4", "Lia Moraes", "lia@correio.com", True, 72.0, "feminino", "Santos", "SP", "2024-02-17", 5120.0, 1, 95.0, 4.5),
+    ("D-1", "Rosa D'Ávila-Lima", "rosa@exemplo.org", True, 34.0, "feminino", "Recife", "PE", "2021-02-03", 4100.0, 3, 1200.0, 4.1),
+    ("D-2", "Davi Couto", "davi@exemplo.org", True, 52.0, "masculino", "Natal", "RN", "2021-02-27", 3250.75, 8, 990.1, 3.2),
+    ("D-3", "Otto Reis", "otto@exemplo.org", True, 29.0, "outro", "Belém", "PA", "2022-07-05", 2600.0, 2, 77.0, 2.8),
+    ("D-4", "Yara Melo", "yara@exemplo.org", True, 45.0, "feminino", "Vitória", "ES", "2023-01-09", 5300.0, 7, 480.0, 3.9),
+    ("D-5", "Ugo Sá", "ugo@exemplo.org", True, 61.0, "masculino", "Santarém", "PA", "2020-06-01", 1800.0, 5, 35.0, 1.5),
 ]
 
 

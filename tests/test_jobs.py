@@ -78,10 +78,10 @@ def test_line_breaks_inside_quotes_belong_to_the_field(spark, tmp_path):
 def test_missing_tokens_of_processed_data(spark, tmp_path):
     columns = ["customer_id", "customer_name", "email", "age", "gender"]
     everything = csv.T.StructType.fromDDL(csv.PROCESSED_SCHEMA).names
-    line = dict(zip(columns, ["K-1", "N/A", "NA", "NA", "n/a"]))
+    line = dict(zip(columns, ["C-1", "N/A", "NA", "NA", "n/a"]))
     path = write_csv(tmp_path / "done.csv", everything, [[line.get(c, "") for c in everything]])
     row = csv.load_processed(spark, path).first()
-    assert row.customer_id == "K-1" and {v for k, v in row.asDict().items() if k != "customer_id"} == {None}
+    assert row.customer_id == "C-1" and {v for k, v in row.asDict().items() if k != "customer_id"} == {None}
     csv.load_processed(spark, path).write.parquet(str(tmp_path / "p"))
     assert csv.load_processed(spark, str(tmp_path / "p"), "parquet").first() == row
 
@@ -101,15 +101,15 @@ def test_batch_writes_every_report(spark, tmp_path):
         return spark.read.option("header", True).option("escape", '"').csv(written[name])
 
     done = csv.load_processed(spark, written["customers_clean"])
-    assert done.count() == 4 and done.where("signup_date IS NULL OR age IS NULL OR customer_segment IS NULL").count() == 0
-    assert [r.quantidade for r in read("deduplication_summary").collect()] == ["5", "1", "0", "4", "1"]
-    assert by(read("age_validation_report"), "coluna")["age"]["quantidade_invalida"] == "2"
+    assert done.count() == 7 and done.where("age IS NULL OR customer_segment IS NULL").count() == 0
+    assert [r.quantidade for r in read("deduplication_summary").collect()] == ["11", "2", "2", "7", "1"]
+    assert by(read("age_validation_report"), "coluna")["age"]["quantidade_invalida"] == "3"
     raw_report, report = by(read("data_quality_report_raw"), "metric"), by(read("data_quality_report"), "metric")
     assert (len(raw_report), len(report)) == (20, 27)
-    assert raw_report["uniqueness_customer_id"]["value"] == "80.0" and "validity_email" not in raw_report
+    assert raw_report["uniqueness_customer_id"]["value"] == "63.64" and "validity_email" not in raw_report
     assert {r.etapa for r in read("deduplication_summary").collect()} >= {"Registros originais (RAW)"}
     assert read("descriptive_statistics").columns[:3] == ["column", "count", "mean"]
-    assert read("charts/customers_by_month").count() == 3
+    assert read("charts/customers_by_month").count() == 5
 
 
 def test_entry(spark):

@@ -1,16 +1,19 @@
+import random
+from statistics import median
+
 import pytest
 from pyspark.sql import functions as F
 from tests.conftest import by, rows
 
 from dqspark.operators import clean as cleaning
-from dqspark.operators import impute, profile, quality
+from dqspark.operators import impute, medians, profile, quality
 from dqspark.plans.customers import type_customers
 
 
 def test_completeness(clean):
-    gap = clean.withColumn("city", F.when(F.col("customer_id") != "K-1", F.col("city")))
+    gap = clean.withColumn("city", F.when(F.col("customer_id") != "D-1", F.col("city")))
     city = by(quality.check_completeness(gap), "metric")["completeness_city"]
-    assert (city["value"], city["status"]) == (75.0, "CRÍTICO")
+    assert (city["value"], city["status"]) == (80.0, "CRÍTICO")
 
 
 def test_nan_is_not_a_filled_value(spark):
@@ -22,7 +25,7 @@ def test_nan_is_not_a_filled_value(spark):
 def test_uniqueness(clean):
     assert quality.check_uniqueness(clean).first().value == 100.0
     twice = quality.check_uniqueness(clean.union(clean.limit(1))).first()
-    assert twice.value == 80.0 and "(4 de 5 registros; 1 duplicados)" in twice.description
+    assert twice.value == 83.33 and "(5 de 6 registros; 1 duplicados)" in twice.description
 
 
 def test_uniqueness_needs_its_key(clean):
@@ -32,14 +35,14 @@ def test_uniqueness_needs_its_key(clean):
 
 def test_validity(clean):
     assert {r.value for r in quality.check_validity(clean).collect()} == {100.0}
-    old = clean.withColumn("age", F.when(F.col("customer_id") == "K-1", 150.0).otherwise(F.col("age")))
-    assert by(quality.check_validity(old), "metric")["validity_age"]["value"] == 75.0
+    old = clean.withColumn("age", F.when(F.col("customer_id") == "D-1", 150.0).otherwise(F.col("age")))
+    assert by(quality.check_validity(old), "metric")["validity_age"]["value"] == 80.0
 
 
 def test_consistency(clean):
-    raw_gender = clean.withColumn("gender", F.when(F.col("age") == 41, "M").otherwise(F.col("gender")))
+    raw_gender = clean.withColumn("gender", F.when(F.col("age") == 34, "M").otherwise(F.col("gender")))
     found = by(quality.check_consistency(raw_gender), "metric")
-    assert found["consistency_gender_categories"]["value"] == 75.0
+    assert found["consistency_gender_categories"]["value"] == 80.0
     assert found["consistency_state_format"]["value"] == 100.0
     odd = clean.withColumn("purchase_count", F.lit(0)).withColumn("state", F.lit("xx"))
     assert by(quality.check_consistency(odd), "metric")["consistency_purchase_vs_spent"]["value"] == 0.0
@@ -71,9 +74,9 @@ def test_known_scores(spark):
 
 def test_before_and_after(raw, clean):
     change = by(quality.dq_before_after(quality.dq_report(type_customers(raw)), quality.dq_report(clean)), "metric")
-    assert change["uniqueness_customer_id"]["delta"] == 20.0 and change["validity_email"]["before"] is None
+    assert change["uniqueness_customer_id"]["delta"] == 36.36 and change["validity_email"]["before"] is None
     worst = quality.worst_metrics(quality.dq_report(type_customers(raw)), 2)
-    assert [r.value for r in worst.collect()] == [0.0, 60.0]
+    assert [r.value for r in worst.collect()] == [0.0, 63.64]
 
 
 def test_report_reads_the_table_once_plus_the_key(clean, tmp_path, spark):
@@ -97,6 +100,35 @@ def test_group_median_with_overall_fallback(spark):
     assert [done[i]["income"] for i in range(1, 7)] == [10.0, 30.0, 20.0, 30.0, 30.0, 100.0]
 
 
+def test_the_table_is_scanned_twice_in_all(spark):
+    """Once for all medians, once for the rows that are filled."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    df = gaps(spark).mapInPandas(count, gaps(spark).schema)
+    done = impute.handle_missing(df.withColumn("satisfaction_score", F.col("age")).withColumn("city", F.lit("x")))
+    assert done.where("age IS NULL OR income IS NULL OR satisfaction_score IS NULL").count() == 0 and seen.value == 12
+
+
+def test_medians_outside_their_bracket_are_taken_anew(spark, monkeypatch):
+    rng = random.Random(3)
+    data = [(f"g{rng.randrange(4)}", rng.choice([None, rng.gauss(0, 9), float(rng.randrange(9))])) for _ in range(4000)]
+    df = spark.createDataFrame(data, "g string, x double")
+    expected = {("", True): median(x for _, x in data if x is not None)}
+    expected |= {(g, False): median(x for k, x in data if k == g and x is not None) for g in ("g0", "g1", "g2", "g3")}
+
+    def found():
+        return {(r.group, r.whole): r["median"] for r in medians.exact_medians(df, ["x"], "g", ["x"]).collect()}
+
+    assert found() == pytest.approx(expected)
+    monkeypatch.setattr(medians, "BRACKET", (0.1, 0.2))
+    assert found() == pytest.approx(expected)
+
+
 def test_group_column_may_be_absent(spark):
     done = by(impute.impute_group_median(gaps(spark).drop("state")), "customer_id")
     assert done[3]["income"] == 30.0
@@ -118,7 +150,7 @@ def test_missing_values_are_filled_and_documented(raw):
     assert done.columns == typed.columns and done.where("age IS NULL OR city IS NULL").count() == 0
     assert done.where("city = 'unknown'").count() == 1 and done.agg(F.min("age")).first()[0] > 0
     report = by(impute.missing_strategy(typed), "coluna")
-    assert report["age"] == {"coluna": "age", "missing_percent": 40.0, "estrategia": "mediana global (41.0)"}
+    assert report["age"] == {"coluna": "age", "missing_percent": 36.36, "estrategia": "mediana global (45.0)"}
     assert report["income"]["estrategia"] == "mediana por grupo (state), fallback mediana global"
 
 
@@ -127,14 +159,15 @@ def test_missing_values_are_filled_and_documented(raw):
 
 def test_profile(raw):
     df = cleaning.standardize_column_names(raw)
-    assert rows(profile.missing_summary(df)) == [("city", 1, 20.0), ("satisfaction_score", 1, 20.0)]
-    assert by(profile.cardinality(df))["customer_id"]["distinct_count"] == 4
+    lost = ["city", "email", "gender", "satisfaction_score", "signup_date", "state"]
+    assert rows(profile.missing_summary(df)) == [(c, 1, 9.09) for c in lost]
+    assert by(profile.cardinality(df))["customer_id"]["distinct_count"] == 7
     table = by(profile.table_profile(df))["age"]
-    assert (table["row_count"], table["column_count"], table["data_type"], table["position"]) == (5, 12, "string", 4)
-    assert rows(profile.value_counts(df, "gender"))[0] == ("M", 2)
-    assert rows(profile.invalid_range_values(df)) == [("17", 1), ("203", 1)]
-    assert rows(profile.value_shares(df, "gender", top=1)) == [("M", 2, 40.0)]
-    assert [r.value for r in profile.distinct_values(df, "state").collect()] == ["Rio de Janeiro", "SP", "pr", "sp"]
+    assert (table["row_count"], table["column_count"], table["data_type"], table["position"]) == (11, 12, "string", 4)
+    assert rows(profile.value_counts(df, "gender"))[0] == ("M", 3)
+    assert rows(profile.invalid_range_values(df)) == [("130", 2), ("16", 1)]
+    assert rows(profile.value_shares(df, "gender", top=1)) == [("M", 3, 30.0)]
+    assert [r.value for r in profile.distinct_values(df, "state").collect()] == ["AM", "Atlantis", "ES", "PA", "Pernambuco", "RN"]
 
 
 def test_text_summary_takes_the_smallest_of_equals(spark):
