@@ -51,7 +51,7 @@ _FACTOR = [np.uint64(int(x) | 1) for x in _rng.integers(0, 2**63, 8, dtype=np.ui
 _LOW = np.uint64(63)
 
 #: Bytes of text per hash range, bytes a task parses at once, triggers it packs at once.
-RANGE_BYTES, PARSE_BYTES, PACK = 16 << 20, 1 << 20, 1_000_000
+RANGE_BYTES, PARSE_BYTES, PACK = 8 << 20, 1 << 18, 500_000
 #: Parts in which phrases are shuffled, one after the other, to need less disk at once.
 PARTS = 2
 #: Phrases of one trigger in one task from which on its windows are dealt by themselves.
