@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ from dqspark.operators.skew import spread_join
 
 #: exp() of anything below this is 0.0 in double precision.
 EXP_UNDERFLOW = -745.2
+#: Width of a density cell in bandwidths, and terms of its series.
+CELL, TERMS = 0.0625, 12
 
 
 def _numbers(df: DataFrame, column: str) -> DataFrame:
@@ -69,9 +72,14 @@ def kde_grid(df: DataFrame, column: str, points: int = 200, bins: int = 40) -> D
     """Gaussian density on a grid over [min, max], Scott's bandwidth.
 
     ``density`` integrates to one over the whole line; ``scaled`` is its height
-    on a histogram of counts with ``bins`` bins. Equal values are combined
-    first, and a value meets only the grid points where its kernel is not zero
-    in double precision.
+    on a histogram of counts with ``bins`` bins.
+
+    Values meet the grid by cells of CELL bandwidths: with t the distance of a
+    value from its cell's middle and y that of a grid point, in bandwidths, the
+    kernel is ``exp(-y^2/2) * exp(-t^2/2) * exp(y t)``, and the last factor is a
+    power series in y whose coefficients are sums over the cell. TERMS of them
+    leave a relative error below 1e-9 up to 29 bandwidths away, where the kernel is
+    below 1e-180. So a cell, however many values it has, is one row.
     """
     values = _numbers(df, column)
     extent = _extent(values)
@@ -79,14 +87,27 @@ def kde_grid(df: DataFrame, column: str, points: int = 200, bins: int = 40) -> D
     step = (high - low) / (points - 1)
     bandwidth = F.col("_e.std") * F.pow(n.cast("double"), F.lit(-0.2))
     reach = F.sqrt(F.lit(-2.0 * EXP_UNDERFLOW)) * bandwidth
-    counts = values.groupBy("value").agg(F.count("*").alias("n")).withColumn("_e", extent).where(F.col("_e.std") > 0)
-    first = F.greatest(F.ceil((F.col("value") - reach - low) / step), F.lit(0).cast("long"))
-    last = F.least(F.floor((F.col("value") + reach - low) / step), F.lit(points - 1).cast("long"))
-    z = (low + F.col("point") * step - F.col("value")) / bandwidth
+    width = bandwidth * CELL
+    placed = values.withColumn("_e", extent).where(F.col("_e.std") > 0)
+    placed = placed.withColumn("cell", F.floor((F.col("value") - low) / width))
+    middle = low + (F.col("cell") + 0.5) * width
+    placed = placed.withColumn("t", (F.col("value") - middle) / bandwidth)
+    term = F.exp(F.col("t") * F.col("t") / -2.0)
+    coefficients = []
+    for k in range(TERMS):
+        coefficients.append(F.sum(term).alias(f"m{k}"))
+        term = term * (F.col("t") / (k + 1))
+    cells = placed.groupBy("cell").agg(*coefficients).withColumn("_e", extent)
+    first = F.greatest(F.ceil((middle - reach - low) / step), F.lit(0).cast("long"))
+    last = F.least(F.floor((middle + reach - low) / step), F.lit(points - 1).cast("long"))
+    y = F.col("y")
+    series = reduce(lambda total, k: total * y + F.col(f"m{k}"), reversed(range(TERMS - 1)), F.col(f"m{TERMS - 1}"))
     sums = (
-        counts.withColumn("point", F.explode(F.sequence(first, last)))
+        cells.where(first <= last)
+        .withColumn("point", F.explode(F.sequence(first, last)))
+        .withColumn("y", (low + F.col("point") * step - middle) / bandwidth)
         .groupBy("point")
-        .agg(F.sum(F.col("n") * F.exp(z * z / -2.0)).alias("weight"))
+        .agg(F.sum(F.exp(y * y / -2.0) * series).alias("weight"))
     )
     spine = df.sparkSession.range(points).withColumnRenamed("id", "point").withColumn("_e", extent)
     density = F.coalesce("weight", F.lit(0.0)) / (n * bandwidth * math.sqrt(2 * math.pi))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from dqspark.functions.numbers import numeric
 from dqspark.operators.describe import present
-from dqspark.operators.ranks import attach_ranks, average_ranks, value_counts
+from dqspark.operators.ranks import attach_ranks, average_ranks, long_numbers, ranks_and_sizes, value_counts
 
 
 def _pearson(x: Column, y: Column) -> Column:
@@ -51,11 +51,14 @@ def pearson_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     )
 
 
-def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+def spearman_pairs(
+    df: DataFrame, pairs: Sequence[tuple[str, str]], ranked: tuple[DataFrame, dict[tuple, int]] | None = None
+) -> DataFrame:
     """Like ``pearson_pairs`` for average ranks over each pair's complete rows.
 
     Columns without a gap have one rank for all their pairs. A first, one-row
-    aggregate finds out which those are.
+    aggregate finds out which those are. ``ranked`` may bring their
+    ``ranks_and_sizes`` if they are there already.
     """
     names = sorted({c for pair in pairs for c in pair})
     data = df.select(*[numeric(df, c).alias(c) for c in names])
@@ -63,7 +66,8 @@ def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame
     complete = {i for i, (a, b) in enumerate(pairs) if gaps[a] == 0 and gaps[b] == 0}
     parts = []
     if complete:
-        parts.append(_ranked_columns(data, {i: pairs[i] for i in sorted(complete)}))
+        whole = {i: pairs[i] for i in sorted(complete)}
+        parts.append(correlations_of_ranks(data, whole, *ranked) if ranked else _ranked_columns(data, whole))
     if len(complete) < len(pairs):
         parts.append(_ranked_pairs(data, {i: p for i, p in enumerate(pairs) if i not in complete}))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -75,13 +79,24 @@ def _centred(ranks: DataFrame) -> DataFrame:
 
 
 def _ranked_columns(data: DataFrame, pairs: dict[int, tuple[str, str]]) -> DataFrame:
-    """Every column is ranked once and joined to the rows, hot values spread out."""
+    """Every column is ranked once, all of them from one table of value counts.
+
+    The ranks of a column with few distinct values are broadcast. Only columns
+    with more than that cost an exchange of the rows, those with the most last.
+    """
+    names = sorted({c for pair in pairs.values() for c in pair})
+    return correlations_of_ranks(data, pairs, *ranks_and_sizes(value_counts(long_numbers(data, names), ["column"]), ["column"]))
+
+
+def correlations_of_ranks(
+    data: DataFrame, pairs: dict[int, tuple[str, str]], ranks: DataFrame, sizes: dict[tuple, int]
+) -> DataFrame:
+    """Spearman of columns without gaps from ``ranks_and_sizes`` of their value counts."""
     names = sorted({c for pair in pairs.values() for c in pair})
     rows = data.select(*names)
-    for c in names:
-        counts = data.groupBy(F.col(c).alias("value")).agg(F.count("*").alias("n"))
-        ranks = average_ranks(counts.withColumn("column", F.lit(c)), ["column"])
-        rows = attach_ranks(rows, _centred(ranks).drop("column"), [], c, f"rank_{c}")
+    for c in sorted(names, key=lambda c: sizes.get((c,), 0)):
+        own = _centred(ranks.where(F.col("column") == c)).drop("column")
+        rows = attach_ranks(rows, own, [], c, f"rank_{c}", sizes.get((c,), 0))
     squares = {c: F.sum(F.col(f"rank_{c}") * F.col(f"rank_{c}")).alias(f"s_{c}") for c in names}
     products = [
         F.sum(F.col(f"rank_{a}") * F.col(f"rank_{b}")).alias(f"p_{i}") for i, (a, b) in pairs.items()

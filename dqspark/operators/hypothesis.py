@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from dqspark import fixed
 from dqspark.functions.numbers import numeric
 from dqspark.operators import corr
-from dqspark.operators.ranks import average_ranks, quantile_table
+from dqspark.operators.ranks import average_ranks, quantile_table, ranks_and_sizes
 from dqspark.operators.tails import EXACT_SAMPLE, beta_tail, normal_tail, rank_sum_tail
+from dqspark.session import stage
 
 
 def _verdict(stats: DataFrame, texts: dict[str, Column], alpha: float) -> DataFrame:
@@ -47,9 +48,9 @@ def _texts(kind: str, shown: Sequence[Column] = (), **names) -> dict[str, Column
 # --- correlation ---------------------------------------------------------------
 
 
-def correlation_stats(df: DataFrame, pairs: Sequence[tuple[str, str]], method: str) -> DataFrame:
+def correlation_stats(df: DataFrame, pairs: Sequence[tuple[str, str]], method: str, **ranked) -> DataFrame:
     """``pair, variable_1, variable_2, n, statistic, p_value`` for each pair."""
-    found = {"pearson": corr.pearson_pairs, "spearman": corr.spearman_pairs}[method](df, pairs)
+    found = {"pearson": corr.pearson_pairs, "spearman": corr.spearman_pairs}[method](df, pairs, **ranked)
     r, free = F.col("correlation"), F.col("n") - 2
     # t^2 / df of the t statistic with n - 2 degrees of freedom.
     ratio = F.try_divide(r * r, F.lit(1.0) - r * r)
@@ -65,10 +66,10 @@ def correlation_stats(df: DataFrame, pairs: Sequence[tuple[str, str]], method: s
 
 
 def correlation_tests(
-    df: DataFrame, pairs: Sequence[tuple[str, str]], method: str, alpha: float = fixed.ALPHA
+    df: DataFrame, pairs: Sequence[tuple[str, str]], method: str, alpha: float = fixed.ALPHA, **ranked
 ) -> DataFrame:
     """Report rows of several pairs from one pass, with their ``pair`` number."""
-    stats = correlation_stats(df, pairs, method)
+    stats = correlation_stats(df, pairs, method, **ranked)
     rows = []
     for i, (x, y) in enumerate(pairs):
         texts = _texts(method, [F.col("statistic")], x=x, y=y)
@@ -140,14 +141,18 @@ def mann_whitney_stats(df: DataFrame, value: str, group: str, a, b, method: str
     and continuity corrections. ``asymptotic`` always takes the normal one;
     ``exact`` fails where the exact one does not apply.
     """
-    if method not in ("auto", "exact", "asymptotic"):
-        raise ValueError(f"unknown method {method!r}")
     rows = _two_groups(df, value, group, a, b)
     counts = (
         rows.groupBy(F.lit(value).alias("column"), "value")
         .agg(F.count("*").alias("n"), F.count_if("in_a").alias("in_a"))
     )
-    ranked = average_ranks(counts, ["column"])
+    return rank_sums(average_ranks(counts, ["column"]), method)
+
+
+def rank_sums(ranked: DataFrame, method: str = "auto") -> DataFrame:
+    """``mann_whitney_stats`` from the ranks of the distinct values (value, n, in_a, avg_rank)."""
+    if method not in ("auto", "exact", "asymptotic"):
+        raise ValueError(f"unknown method {method!r}")
     n = F.col("n").cast("double")
     sums = ranked.agg(
         F.coalesce(F.sum("in_a"), F.lit(0)).alias("n_a"),
@@ -243,6 +248,23 @@ def anova_test(df: DataFrame, value: str, group: str, alpha: float = fixed.ALPHA
 
 # --- standard battery ------------------------------------------------------------
 
+#: Stands for the values of the rows that the Mann-Whitney test compares.
+OF_SEGMENTS = "satisfaction_score of two segments"
+
+
+def _battery_ranks(df: DataFrame, names: Sequence[str], segments: tuple[str, str] | None):
+    """Ranks of the values of each column, and among the rows of two segments; one table."""
+    never = F.lit(False)
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), never.alias("in_a")) for c in names]
+    if segments is not None:
+        label = F.col("customer_segment")
+        value = F.when(label.isin(list(segments)), F.col("satisfaction_score"))
+        in_a = F.coalesce(label == F.lit(segments[0]), never)
+        cells.append(F.struct(F.lit(OF_SEGMENTS).alias("column"), value.alias("value"), in_a.alias("in_a")))
+    long = df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+    counts = long.groupBy("column", "value").agg(F.count("*").alias("n"), F.count_if("in_a").alias("in_a"))
+    return ranks_and_sizes(counts, ["column"])
+
 
 def standard_battery(
     df: DataFrame,
@@ -252,19 +274,24 @@ def standard_battery(
 ) -> DataFrame:
     """The standard questions on the customer table, one row per test.
 
-    Rank and moment work is shared between the correlation tests. Group tests
+    ``df`` is scanned once, for a narrow copy of the seven columns that the
+    tests read. All tests on ranks share one table of value counts. Group tests
     appear only when their groups occur: two segments, three segments, both
     genders.
     """
     linear = [("income", "total_spent"), ("purchase_count", "total_spent")]
     by_rank = [*linear, ("satisfaction_score", "total_spent"), ("age", "total_spent")]
+    names = sorted({c for pair in by_rank for c in pair})
+    groups = [c for c in ("customer_segment", "gender") if c in df.columns]
+    df = stage(df.select(*[numeric(df, c).alias(c) for c in names], *groups))
+    a, b = segment_pair
+    ranks, sizes = _battery_ranks(df, names, segment_pair if "customer_segment" in groups else None)
     parts = [
         correlation_tests(df, linear, "pearson", alpha),
-        correlation_tests(df, by_rank, "spearman", alpha),
+        correlation_tests(df, by_rank, "spearman", alpha, ranked=(ranks, sizes)),
     ]
     if "customer_segment" in df.columns:
-        a, b = segment_pair
-        stats = mann_whitney_stats(df, "satisfaction_score", "customer_segment", a, b)
+        stats = rank_sums(ranks.where(F.col("column") == OF_SEGMENTS))
         shown = [F.col("median_a"), F.col("median_b")]
         texts = _texts("mann_whitney", shown, value="satisfaction_score", a=a, b=b)
         parts.append(_verdict(stats.where((F.col("n_a") > 0) & (F.col("n_b") > 0)), texts, alpha))

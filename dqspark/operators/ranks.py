@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dqspark.functions.numbers import numeric
-from dqspark.operators.skew import spread_join
+from dqspark.operators.skew import MAX_HOT_KEYS, spread_join
 from dqspark.session import stage
 
 #: Rows sampled to bracket the quantiles of a table, and how many standard
@@ -94,6 +94,13 @@ def average_ranks(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return positions(counts, keys).withColumn("avg_rank", F.col("before") + (F.col("n") + 1) / 2)
 
 
+def ranks_and_sizes(counts: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, dict[tuple, int]]:
+    """``average_ranks``, staged for several readers, and the number of distinct values of each of a few groups."""
+    ranks = stage(average_ranks(counts, keys))
+    sizes = ranks.groupBy(*keys).count().collect()
+    return ranks, {tuple(r[k] for k in keys): r["count"] for r in sizes}
+
+
 def _covers(rank: Column) -> Column:
     return (rank >= F.col("before")) & (rank < F.col("before") + F.col("n"))
 
@@ -232,11 +239,19 @@ def scalar_struct(table: DataFrame, columns: Sequence[str], fields: dict[str, Co
     return table.groupBy().agg(row.alias("row")).scalar()
 
 
-def attach_ranks(rows: DataFrame, ranks: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """Join ``avg_rank`` to rows by ``(keys, value)``, hot values spread out."""
+def attach_ranks(
+    rows: DataFrame, ranks: DataFrame, keys: Sequence[str], value: str, out: str, distinct: int | None = None
+) -> DataFrame:
+    """Join ``avg_rank`` to rows by ``(keys, value)``, hot values spread out.
+
+    ``distinct`` tells how many values ``ranks`` holds. Up to MAX_HOT_KEYS their
+    table is broadcast and the rows stay where they are.
+    """
     table = ranks.select(
         *keys, F.col("value").alias(value), F.col("avg_rank").alias(out), F.col("n").alias("_n"), "total"
     )
+    if distinct is not None and distinct <= MAX_HOT_KEYS:
+        return rows.join(F.broadcast(table.drop("_n", "total")), [*keys, value], "left").select(*rows.columns, out)
     return spread_join(rows, table, [*keys, value], [out], F.col("_n"), F.col("total"))
 
 
