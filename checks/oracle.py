@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+from checks import values as fixed
 from checks.tables import dirty_customers_sql
-from dqspark import fixed
 
 CUSTOMER = (
     "customer_id", "customer_name", "email", "age", "gender", "city", "state", "signup_date",

@@ -5,9 +5,9 @@ from __future__ import annotations
 from itertools import combinations
 
 from checks import oracle as o
-from checks.queries import LINE_COLUMNS
+from checks import values as fixed
+from checks.queries import LINE_COLUMNS, REPORTS
 from checks.tables import messy_numbers_sql
-from dqspark import fixed
 
 ORACLES: dict[str, str] = {}
 
@@ -27,6 +27,15 @@ def dirty(body: str) -> str:
 ORACLES["scan_csv"] = """SELECT CAST(p_partkey AS VARCHAR) AS key,
   CASE p_partkey % 4 WHEN 0 THEN p_name || chr(10) || '"' || p_brand || '", x' WHEN 1 THEN ' ' || p_name || ', '
                      WHEN 3 THEN p_name END AS name FROM part"""
+ORACLES["scan_processed"] = """
+SELECT CAST(k AS VARCHAR) AS customer_id, c_name AS customer_name,
+       CASE WHEN k % 5 > 1 THEN CAST(k % 60 + 18 AS DOUBLE) END AS age,
+       CASE WHEN k % 4 <> 0 THEN DATE '2024-01-10' END AS signup_date,
+       CASE WHEN k % 7 <> 0 THEN CAST(2500.5 AS DOUBLE) END AS income,
+       CASE WHEN k % 6 <> 0 THEN CAST(12 AS BIGINT) END AS purchase_count,
+       CASE WHEN k % 5 = 0 THEN 'abc' END AS bad_age, CASE WHEN k % 4 = 0 THEN '2024/01/10' END AS bad_signup_date,
+       CASE WHEN k % 7 = 0 THEN '1.5.2' END AS bad_income, CASE WHEN k % 6 = 0 THEN 'many' END AS bad_purchase_count
+FROM (SELECT c_custkey AS k, c_name FROM customer)"""
 ORACLES["scan_na_tokens"] = f"""
 SELECT o_orderkey, CASE WHEN p NOT IN ({TOKENS}) THEN p END AS priority,
        CASE WHEN o_orderstatus NOT IN ({TOKENS}) THEN o_orderstatus END AS o_orderstatus
@@ -327,3 +336,17 @@ e AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM p)
 SELECT least(CAST(floor((x - x0) / ((x1 - x0) / 50)) AS BIGINT), 49) AS x_bin,
        least(CAST(floor((y - y0) / ((y1 - y0) / 50)) AS BIGINT), 49) AS y_bin, hue, count(*) AS row_count
 FROM p, e GROUP BY 1, 2, 3"""
+
+# --- the batch job -----------------------------------------------------------------------------
+_WRITTEN = {
+    "deduplication_summary": ORACLES["dedup_summary"],
+    "age_validation_report": ORACLES["range_report"],
+    "missing_values_strategy": ORACLES["missing_strategy"],
+    "data_quality_report_raw": ORACLES["dq_report"],
+    "data_quality_report": o.customers("done", _DONE_REPORT),
+}
+ORACLES["batch_reports"] = o.union(
+    f"SELECT '{name}' AS report, {columns[0]} AS \"row\", '{c}' AS field, CAST({c} AS VARCHAR) AS value FROM ({_WRITTEN[name]})"
+    for name, columns in REPORTS.items()
+    for c in columns[1:]
+)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from dqspark.operators import (
     segments,
     similarity,
 )
+from dqspark.plans import batch
 from dqspark.plans.customers import (
     clean_customers,
     deduplicate_customers,
@@ -42,6 +44,14 @@ RAW_HEADERS = (
     "Customer ID", " Customer Name", "Email ", "Age", "Gender", "City", "State",
     "Signup-Date", "Income (R$)", "Purchase  Count", "Tótal Spent", "Satisfaction_Score_",
 )
+#: Written reports that are compared, with their columns; the first one names the row.
+REPORTS = {
+    "deduplication_summary": ("etapa", "quantidade"),
+    "age_validation_report": ("coluna", "regra", "quantidade_invalida", "percentual_invalido", "estrategia"),
+    "missing_values_strategy": ("coluna", "missing_percent", "estrategia"),
+    "data_quality_report_raw": ("metric", "value", "status", "description"),
+    "data_quality_report": ("metric", "value", "status", "description"),
+}
 #: Value columns of lineitem, and the decimals their statistics are compared with.
 LINE_COLUMNS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
@@ -108,6 +118,44 @@ def scan_csv(spark, d):
     return csv.load_raw(spark, path)
 
 
+@query
+def scan_processed(spark, d):
+    """Processed customers some of whose cells are no values of their type."""
+    key = F.col("c_custkey")
+    cells = {
+        "customer_id": key.cast("string"),
+        "customer_name": F.col("c_name"),
+        "age": F.when(key % 5 == 0, F.lit("abc")).when(key % 5 == 1, F.lit("NA")).otherwise((key % 60 + 18).cast("string")),
+        "signup_date": F.when(key % 4 == 0, F.lit("2024/01/10")).otherwise(F.lit("2024-01-10")),
+        "income": F.when(key % 7 == 0, F.lit("1.5.2")).otherwise(F.lit("2500.5")),
+        "purchase_count": F.when(key % 6 == 0, F.lit("many")).otherwise(F.lit("12")),
+    }
+    names = [f.split()[0] for f in csv.PROCESSED_SCHEMA.split(", ")]
+    path = f"{scratch_dir(spark)}/processed-{uuid.uuid4().hex}"
+    empty = F.lit(None).cast("string")
+    csv.save_frame(table(spark, d, "customer").select(*[cells.get(c, empty).alias(c) for c in names]), path)
+    bad = [F.col("bad")[c].alias(f"bad_{c}") for c in ("age", "signup_date", "income", "purchase_count")]
+    found = csv.load_processed(spark, path, rescued="bad")
+    return found.select("customer_id", "customer_name", "age", "signup_date", "income", "purchase_count", *bad)
+
+
+@query
+def batch_reports(spark, d):
+    """The batch job on a dirty CSV: cells of its written reports, one row each."""
+    folder = f"{scratch_dir(spark)}/batch-{uuid.uuid4().hex}"
+    csv.save_frame(dirty_customers(spark, d), f"{folder}/raw")
+    written = batch.run(spark, f"{folder}/raw", f"{folder}/out", with_charts=False)
+    parts = []
+    for name, columns in REPORTS.items():
+        report = spark.read.option("header", True).option("escape", '"').csv(written[name])
+        cells = [
+            F.struct(F.lit(name).alias("report"), F.col(columns[0]).alias("row"), F.lit(c).alias("field"), F.col(c).alias("value"))
+            for c in columns[1:]
+        ]
+        parts.append(report.select(F.inline(F.array(*cells))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def scan_na_tokens(spark, d):
     token = F.expr(
