@@ -1,7 +1,7 @@
 """Near-duplicate paragraphs: MinHash banding, exact Jaccard, components.
 
-A paragraph is a line with a word. Equal paragraphs are one node. Nodes that
-share a band of their MinHash signature are candidates; those of a similarity of
+A paragraph is a line of WORDS words or more. Equal paragraphs are one node. Nodes
+that share a band of their MinHash signature are candidates; those of a similarity of
 SIMILARITY or more in five-word shingles are linked; of each connected component
 the paragraph first in the order of ids and lines stays.
 
@@ -10,6 +10,12 @@ by pair. In a fuller cell everything is first held against its most copied
 paragraph, which usually is what the others were made from. Only nodes that this
 leaves outside that paragraph's component are then compared with the whole cell,
 block by block.
+
+A passage inside a longer line is no line, so lines of over LONG words are also
+cut into parts where their words say so: at the least hash of two neighbouring
+words in any stretch of WINDOW. The cuts inside a passage are the same wherever
+it stands, and any 2 * WINDOW words have two of them at least. Parts are compared
+as wholes: those of LEAST_PART words or more that an earlier place has too go.
 """
 
 from __future__ import annotations
@@ -26,6 +32,7 @@ import xxhash
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dqspark.llm import worker
 from dqspark.llm.components import components
@@ -37,6 +44,8 @@ cloudpickle.register_pickle_by_value(worker)
 
 WORDS, SIMILARITY, ROWS, RECALL, SEED = 5, 0.8, 3, 0.99, 11
 CELL, PROBES, MEMBERS = 32, 256, 1024
+#: Words from which on a line is also cut, words between cuts at most, words of a part that counts.
+LONG, WINDOW, LEAST_PART = 60, 24, 8
 MEMO = 300_000
 
 _words = re.compile(r"\w+").findall
@@ -63,9 +72,9 @@ class WordHashes(dict):
 
 
 def lines_of(text: str | None) -> list[tuple[int, list[str]]]:
-    """Number and words of each line that has a word, without regard to case."""
+    """Number and words of each line of WORDS words or more, without regard to case."""
     found = ((i, _words(line)) for i, line in enumerate((text or "").lower().split("\n")))
-    return [(i, w) for i, w in found if w]
+    return [(i, w) for i, w in found if len(w) >= WORDS]
 
 
 def node_of(words: list[str]) -> int:
@@ -78,6 +87,14 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def part_cuts(words: list[str], known: WordHashes) -> np.ndarray:
+    """First words of the parts of a line, and the number of its words."""
+    each = np.fromiter((known[w] for w in words), np.uint64, len(words))
+    pairs = _mixed(each[:-1] * _MIX + each[1:])
+    views = np.lib.stride_tricks.sliding_window_view(pairs, WINDOW)
+    return np.unique(np.concatenate([[0], np.arange(len(views)) + views.argmin(axis=1), [len(words)]]))
+
+
 def run_hashes(paragraphs: list[list[str]], known: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the shingles of paragraphs of WORDS words or more, and where each starts."""
     sizes = np.array([len(p) for p in paragraphs])
@@ -105,6 +122,43 @@ def band_keys(paragraphs: list[list[str]], known: WordHashes) -> np.ndarray:
     return keys.view(np.int64)
 
 
+PARTS = "id long, text_key long, line int, start int, stop int, node long"
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The parts of all long lines; ``start`` and ``stop`` count words."""
+    known = WordHashes()
+    kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 3, pa.int64()]
+    names = [c.split()[0] for c in PARTS.split(", ")]
+    for batch in worker.slices(batches, 128):
+        rows = []
+        for key, text_key, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for line, words in lines_of(text):
+                if len(words) > LONG:
+                    cuts = part_cuts(words, known).tolist()
+                    both = zip(cuts, cuts[1:])
+                    rows += [(key, text_key, line, i, j, node_of(words[i:j])) for i, j in both if j - i >= LEAST_PART]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * 6, kinds)], names)
+
+
+def repeated_parts(read: DataFrame, staged: Staged) -> DataFrame:
+    """(id, text_key, parts): the parts that stand in an earlier place too, with that place.
+
+    ``read`` has id, text_key and text.
+    """
+    rows = staged.write(read.mapInArrow(_parts, PARTS))
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "line", "start", "text_key")
+    first = rows.groupBy("node").agg(F.count("*").alias("copies"), F.min(place).alias("first")).where("copies > 1").drop("copies")
+    found = rows.join(first, "node").where(~place.eqNullSafe(F.col("first")))
+    told = [F.col(f"first.{c}").alias(f"first_{c}") for c in ("id", "line", "start")]
+    out = staged.write(
+        found.groupBy("id", "text_key").agg(F.sort_array(F.collect_set(F.struct("line", "start", "stop", *told))).alias("parts"))
+    )
+    staged.drop(rows)
+    staged.free()
+    return out
+
+
 PARAGRAPHS = "row long, id long, text_key long, line int, node long, bands array<long>"
 
 
@@ -117,9 +171,8 @@ def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, text_key, text in zip(*(c.to_pylist() for c in batch.columns)):
             lines = lines_of(text)
             for line, words in lines:
-                if len(words) >= WORDS:
-                    where.append(len(rows))
-                    long.append(words)
+                where.append(len(rows))
+                long.append(words)
                 rows.append([number, key, text_key, line, node_of(words), None])
             if not lines:
                 rows.append([number, key, text_key, -1, None, None])
@@ -237,18 +290,20 @@ def compared(probes: DataFrame, members: DataFrame, bodies: DataFrame, staged: S
 
 
 def near_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, text_key, n_paragraphs, removed.
+    """One row per row of ``docs``: id, text_key, n_paragraphs, removed, parts.
 
     ``removed`` lists line (from 0), first_id and first_line (the paragraph that
     stays for it), sorted by line. Paragraphs that share the place of the one
-    that stays, as in rows of equal id, stay too. Null ids come last. Paragraphs
-    of fewer than five words are one shingle, so only equal ones are linked.
-    Null and wordless texts have no paragraph. No rows give no rows. Other
-    columns are not read.
+    that stays, as in rows of equal id, stay too. Null ids come last. Lines of
+    fewer than five words are no paragraphs and stay. ``parts`` lists the
+    repeated parts of the long lines that are not removed: line, start and stop
+    (in words), first_id, first_line and first_start. Null and wordless texts
+    have neither. No rows give no rows. Other columns are not read.
     """
     staged = Staged(docs.sparkSession, "paragraphs")
     text = F.coalesce(F.col(text_col), F.lit(""))
     read = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    parts = repeated_parts(read, staged)
     found = staged.write(read.mapInArrow(_paragraphs, PARAGRAPHS))
     here = found.where("line >= 0")
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "line", "text_key")
@@ -270,25 +325,57 @@ def near_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("first").isNotNull() & ~own.eqNullSafe(kept),
         F.struct("line", F.col("first.id").alias("first_id"), F.col("first.line").alias("first_line")),
     )
-    return told.groupBy("row").agg(
+    by_row = told.groupBy("row").agg(
         F.first("id").alias("id"),
         F.first("text_key").alias("text_key"),
         F.sum((F.col("line") >= 0).cast("long")).alias("n_paragraphs"),
         F.sort_array(F.collect_list(gone)).alias("removed"),
-    ).drop("row")
+    )
+    parts = parts.select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), "parts")
+    joined = by_row.join(parts, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
+    left = F.filter("parts", lambda p: ~F.array_contains(F.col("removed.line"), p["line"]))
+    none = F.array().cast(joined.schema["parts"].dataType)
+    return joined.select("id", "text_key", "n_paragraphs", "removed", F.coalesce(left, none).alias("parts"))
+
+
+@F.pandas_udf(T.StringType())
+def _without(texts: pd.Series, lines: pd.Series, parts: pd.Series) -> pd.Series:
+    """Texts without some lines, and without some stretches of words in the other lines."""
+
+    def one(text: str | None, lines: list | None, parts: list | None) -> str | None:
+        if text is None or lines is None:
+            return text
+        gone, out = set(lines), []
+        for number, line in enumerate(text.split("\n")):
+            if number in gone:
+                continue
+            cut = [p for p in parts if p["line"] == number]
+            if cut:
+                # Lower case may have other lengths, not other words.
+                words = [m.span() for m in re.finditer(r"\w+", line)]
+                at, kept = 0, []
+                for p in cut:
+                    kept.append(line[at : words[p["start"]][0]])
+                    at = words[p["stop"]][0] if p["stop"] < len(words) else len(line)
+                line = "".join([*kept, line[at:]])
+            out.append(line)
+        return "\n".join(out)
+
+    return pd.Series([one(*row) for row in zip(texts, lines, parts)], dtype="object")
 
 
 def drop_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the lines that near-duplicate an earlier paragraph; no row is dropped."""
-    gone = near_paragraphs(docs, id_col, text_col).where(F.size("removed") > 0)
-    key, other_id, other_key, lines = fresh(docs, "_key", "_other_id", "_other_key", "_lines")
-    gone = gone.select(column("id").alias(other_id), column("text_key").alias(other_key), F.col("removed.line").alias(lines))
+    """``docs`` without the lines that near-duplicate an earlier paragraph and without repeated parts; no row is dropped."""
+    gone = near_paragraphs(docs, id_col, text_col).where((F.size("removed") > 0) | (F.size("parts") > 0))
+    key, other_id, other_key, lines, parts = fresh(docs, "_key", "_other_id", "_other_key", "_lines", "_parts")
+    gone = gone.select(
+        column("id").alias(other_id), column("text_key").alias(other_key), F.col("removed.line").alias(lines), column("parts").alias(parts)
+    )
     keyed = docs.withColumn(key, F.xxhash64(F.coalesce(column(text_col), F.lit(""))))
     same = column(id_col).eqNullSafe(column(other_id)) & (column(key) == column(other_key))
     joined = keyed.join(gone.dropDuplicates([other_id, other_key]), same, "left")
-    left = F.filter(F.split(column(text_col), "\n", -1), lambda _, i: ~F.array_contains(column(lines), i))
-    text = F.when(column(lines).isNull(), column(text_col)).otherwise(F.array_join(left, "\n"))
-    return joined.withColumn(text_col, text).drop(key, other_id, other_key, lines)
+    text = _without(column(text_col), column(lines), column(parts))
+    return joined.withColumn(text_col, text).select(*[column(c) for c in docs.columns])
 
 
 def op8_paragraph_minhash(spark, sf_dir: str) -> DataFrame:
@@ -296,8 +383,11 @@ def op8_paragraph_minhash(spark, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"),
         "n_paragraphs",
-        F.size("removed").cast("long").alias("n_removed"),
+        (F.size("removed") + F.size("parts")).cast("long").alias("n_removed"),
         F.col("removed.line").alias("removed_lines"),
         F.col("removed.first_id").alias("first_doc_ids"),
         F.col("removed.first_line").alias("first_lines"),
+        F.col("parts.line").alias("part_lines"),
+        F.col("parts.start").alias("part_starts"),
+        F.col("parts.first_id").alias("part_first_doc_ids"),
     )

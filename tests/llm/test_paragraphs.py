@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from dqspark.llm import paragraphs
@@ -7,6 +8,9 @@ from dqspark.llm.paragraphs import drop_paragraphs, lines_of, near_paragraphs, t
 from tests.llm.tables import make_docs, prose
 
 
+DATA = "/root/testdata/sf0.01/documents.parquet"
+
+
 def line(seed, n):
     return prose(seed, n).replace("\n", "")
 
@@ -79,10 +83,65 @@ def test_awkward_rows(spark, awkward, nothing):
     cut = drop_paragraphs(awkward)
     assert cut.columns == awkward.columns and cut.count() == awkward.count()
     texts = {r.doc_id: r.text for r in cut.collect()}
-    assert texts[1] == awkward.first().text and texts[3] is None and texts[5] == " \n\t \n" and texts[2] == ""
+    assert texts[1] == awkward.first().text and texts[3] is None and texts[5] == " \n\t \n"
+    assert texts[2] == "\n".join(x for x in awkward.first().text.split("\n") if len(x.split()) < 5)
     assert near_paragraphs(nothing).count() == 0 and drop_paragraphs(nothing).count() == 0
 
 
+def slow_parts(rows, removed):
+    """(id, line, start, stop) -> first place, for each repeated part of a line that stays."""
+    places, known = {}, paragraphs.WordHashes()
+    for key, text in rows:
+        for i, words in lines_of(text):
+            if len(words) > paragraphs.LONG:
+                pairs = [int(x) for x in paragraphs._mixed(np.array([known[w] for w in words[:-1]], np.uint64) * paragraphs._MIX + np.array([known[w] for w in words[1:]], np.uint64))]
+                cuts = {0, len(words)}
+                for at in range(len(pairs) - paragraphs.WINDOW + 1):
+                    view = pairs[at : at + paragraphs.WINDOW]
+                    cuts.add(at + view.index(min(view)))
+                cuts = sorted(cuts)
+                for a, b in zip(cuts, cuts[1:]):
+                    if b - a >= paragraphs.LEAST_PART:
+                        places.setdefault(tuple(words[a:b]), []).append((key, i, a, b))
+    out = {}
+    for all_places in places.values():
+        first = min(all_places)
+        out |= {p: first[:3] for p in all_places if p != first and p[:2] not in removed}
+    return out
+
+
+def test_a_passage_inside_a_long_line_is_found(spark):
+    passage = line(77, 55)
+    rows = [(i, f"{line(200 + i, 300)} {passage} {line(300 + i, 250)}") for i in range(6)]
+    rows += [(10 + i, line(400 + i, 500)) for i in range(4)] + [(20, passage), (21, "short equal line\n" + line(9, 20)), (22, "short equal line")]
+    found = {r.id: r for r in near_paragraphs(make_docs(spark, rows).repartition(3)).collect()}
+    got = {(i, p.line, p.start, p.stop): (p.first_id, p.first_line, p.first_start) for i, r in found.items() for p in r.parts}
+    assert got == slow_parts(rows, {(i, x.line) for i, r in found.items() for x in r.removed})
+    assert {i for i, r in found.items() if r.parts or r.removed} == {1, 2, 3, 4, 5}
+    cut = {r.doc_id: r.text for r in drop_paragraphs(make_docs(spark, rows)).collect()}
+    for i in range(1, 6):
+        lost = len(rows[i][1].split()) - len(cut[i].split())
+        assert 20 <= lost <= 55 and cut[i].startswith(line(200 + i, 300).rsplit(" ", 40)[0])
+    assert all(cut[i] == t for i, t in rows if i in (0, 10, 11, 12, 13, 20, 21, 22))
+
+
+def test_recall_of_shared_runs(spark):
+    """Documents of the tables that share 50 words with an earlier one lose something."""
+    docs = spark.read.parquet(DATA)
+    seen, sharing = {}, set()
+    for r in docs.orderBy("doc_id").collect():
+        words = paragraphs._words((r.text or "").lower())
+        runs = {hash(tuple(words[i : i + 50])) for i in range(len(words) - 49)}
+        if any(seen.get(h, r.doc_id) != r.doc_id for h in runs):
+            sharing.add(r.doc_id)
+        for h in runs:
+            seen.setdefault(h, r.doc_id)
+    hit = {r.id for r in near_paragraphs(docs).where("size(removed) > 0 OR size(parts) > 0").collect()}
+    recall = len(sharing & hit) / len(sharing)
+    print(f"recall {recall:.3f} of {len(sharing)}")
+    assert recall >= 0.9
+
+
 def test_bands_reach_the_recall():
     for similarity, rows, recall in ((0.8, 3, 0.99), (0.7, 4, 0.95)):
         bands = tuned_bands(similarity, rows, recall)
