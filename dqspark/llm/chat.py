@@ -141,6 +141,47 @@ def events_of_rows(conversations: DataFrame) -> DataFrame:
     )
 
 
+#: Events that a turn's log has room for.
+ROOM = 8
+
+
+def streamed_events(conversations: DataFrame) -> DataFrame:
+    """Event log in which the turns of ``events_of_rows`` arrive as a chat service would log them.
+
+    By a hash of conversation and place a turn is (0) one message, (1) a message
+    and two deltas, (2) a wrong draft, an edit that replaces it, and a delta, or
+    (3) an answer begun, a follow-up to it, and a regeneration that discards
+    both, with a delta. Their fold is the turn. Only the first event of a message
+    has the role.
+    """
+    turns = events_of_rows(conversations).withColumn("text", F.coalesce("text", F.lit("")))
+    way = F.pmod(F.xxhash64("conv_id", "seq"), F.lit(4))
+    a = F.floor(F.length("text") / 3).cast("int")
+    b = F.floor(2 * F.length("text") / 3).cast("int")
+    piece = lambda start, stop: F.substring("text", start + 1, stop - start)
+    one, two, three = piece(F.lit(0), a), piece(a, b), piece(b, F.length("text"))
+    at, no_role = F.col("seq") * ROOM, F.lit(None).cast("string")
+
+    def event(place: int, kind: str, text: Column, role: Column = no_role, other: bool = False) -> Column:
+        return F.struct(
+            (at + place).alias("seq"), F.lit(kind).alias("kind"), (at + int(other)).alias("msg_id"),
+            role.alias("role"), text.alias("text"),
+        )
+
+    role = F.col("role")
+    logs = [
+        F.array(event(0, "message", F.col("text"), role)),
+        F.array(event(0, "message", one, role), event(1, "delta", two), event(2, "delta", three)),
+        F.array(event(0, "message", F.reverse("text"), role), event(1, "edit", F.concat(one, two)), event(2, "delta", three)),
+        F.array(
+            event(0, "message", two, role), event(1, "delta", three), event(2, "message", one, F.lit("user"), other=True),
+            event(3, "regenerate", one), event(4, "delta", F.concat(two, three)),
+        ),
+    ]
+    log = F.when(way == 0, logs[0]).when(way == 1, logs[1]).when(way == 2, logs[2]).otherwise(logs[3])
+    return turns.select("conv_id", F.inline(log))
+
+
 #: Fixed conversation that every result of the query contains.
 PROBE = "\\### Assistant: </turn> ok"
 
@@ -153,7 +194,7 @@ def op10_chat_events(spark, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(PROBE).alias("text"),
     )
-    back = read_back(render(reconstruct(events_of_rows(rows.unionByName(probe)))))
+    back = read_back(render(reconstruct(streamed_events(rows.unionByName(probe)))))
     joined = F.concat_ws("", F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))))
     return back.select(
         "conv_id",

@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from dqspark.llm.chat import events_of_rows, op10_chat_events, read_back, reconstruct, render
+from dqspark.llm.chat import events_of_rows, op10_chat_events, read_back, reconstruct, render, streamed_events
 
 EVENT = "conv_id long, seq long, kind string, msg_id long, role string, text string, pos int, formatted string"
 
@@ -53,6 +53,17 @@ def random_log(seed, n=300):
     ]
 
 
+def test_streamed_turns_fold_to_the_turns(spark):
+    rng = random.Random(8)
+    turns = [(c, t, rng.choice(["user", "assistant", None]), rng.choice([None, "", "a", "é🙂x", "### </turn> \\" * 9])) for c in range(40) for t in range(5)]
+    rows = spark.createDataFrame([*turns, (None, 1, "user", "x"), (None, 1, "user", "x")], "conv_id long, turn long, role string, text string")
+    events = streamed_events(rows)
+    kinds = {r.kind: r["count"] for r in events.groupBy("kind").count().collect()}
+    assert all(kinds[k] > 20 for k in ("message", "delta", "edit", "regenerate"))
+    ours, plain = ({tuple(r) for r in reconstruct(e).collect()} for e in (events, events_of_rows(rows)))
+    assert ours == plain and len(plain) == 202
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_fold_like_event_by_event(spark, seed):
     rows = random_log(seed)
