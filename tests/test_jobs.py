@@ -132,4 +132,4 @@ LIGHT = (
 @pytest.mark.parametrize("name", LIGHT)
 def test_queries_agree_with_their_oracle(spark, name):
     found = contract.queries()[name](spark, SF)
-    assert difference(found, connect(SF), contract.oracle_sql()[name]) is None
+    assert difference(found, connect(SF), contract.oracle_sql()[name], name) is None
