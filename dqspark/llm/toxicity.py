@@ -45,7 +45,8 @@ LEET = str.maketrans("0134578@$!*", "oieastbasii")
 
 #: Labelled rows that are used at most (those with the smallest hash of their id).
 TRAINING_ROWS = 20_000
-LEXICON_TERMS, LEAST_TOXIC_ROWS, LEAST_RATIO = 4000, 3, 6.0
+#: Toxic rows a learned term stands in at least, and how much likelier it is there.
+LEAST_TOXIC_ROWS, LEAST_RATIO = 3, 6.0
 PREFIXES = (4, 5, 6)
 NEAR, MEMO = 4, 400_000
 FOLDS, CALIBRATION = 2, 5
@@ -132,8 +133,8 @@ def featured(rows: DataFrame, keep: list[str], text_col: str, lexicons: list[dic
 def learn_lexicons(rows: DataFrame, text_col: str = "text") -> list[dict[str, float]]:
     """Log ratios of terms for each fold (from the other rows), then from all rows.
 
-    ``rows`` has fold, toxic and the text. The result is bounded by
-    LEXICON_TERMS per lexicon.
+    ``rows`` has fold, toxic and the text. The result holds the terms that
+    LEAST_TOXIC_ROWS toxic ones of at most TRAINING_ROWS rows share.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,8 +161,7 @@ def learn_lexicons(rows: DataFrame, text_col: str = "text") -> list[dict[str, fl
         ratio = ((toxic + 0.5) / (n_toxic + 1)) / ((both - toxic + 0.5) / (n_clean + 1))
         chosen = counted.select("term", toxic.alias("toxic"), F.log(ratio).alias("weight"))
         chosen = chosen.where((F.col("toxic") >= LEAST_TOXIC_ROWS) & (F.col("weight") >= math.log(LEAST_RATIO)))
-        top = chosen.orderBy((F.col("toxic") * F.col("weight")).desc(), "term").limit(LEXICON_TERMS).collect()
-        out.append({r.term: r.weight for r in top})
+        out.append({r.term: r.weight for r in chosen.collect()})
     counted.unpersist()
     return out
 
@@ -195,7 +195,8 @@ def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col
     """id and score (0 to 1) of each row of ``docs``, learned from ``training`` (id, toxic).
 
     At most TRAINING_ROWS training rows are used. A null id or label does not
-    train; repeated ids train once, as toxic if any of their labels is. Null and
+    train; repeated ids train once, by the text of the smallest hash and as toxic
+    if any of their labels is. Null and
     empty texts are scored by their features, all zero. Without rows of both
     labels every score is the mean label (0 without any row). Other columns of
     ``docs`` are not read. Each row keeps its row.
@@ -205,7 +206,7 @@ def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col
     # Bounded by TRAINING_ROWS, so it may be broadcast.
     sample = labels.orderBy(F.xxhash64("id"), "id").limit(TRAINING_ROWS)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = texts.join(F.broadcast(sample), "id").dropDuplicates(["id"])
+    rows = texts.join(F.broadcast(sample), "id").groupBy("id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     rows = staged.write(rows.withColumn("fold", F.pmod(F.xxhash64(F.col("id"), F.lit("fold")), F.lit(FOLDS)).cast("int")))
     n, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not 0 < toxic < n:
