@@ -57,7 +57,7 @@ def test_gender_variants(raw, spark):
 
 def test_state_variants(raw, spark):
     done = ops.standardize_state(ops.standardize_column_names(raw))
-    assert {r.state for r in done.collect()} == {"PE", "unknown", None, "PA"}
+    assert {r.state for r in done.collect()} == {"PE", "unknown", None, "PA", "ES", "AM"}
     odd = spark.createDataFrame([(1, "SÃO PAULO "), (2, "Atlantis"), (3, None)], "i int, state string")
     assert [r.state for r in ops.standardize_state(odd).orderBy("i").collect()] == ["SP", "unknown", None]
 
