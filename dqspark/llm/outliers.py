@@ -3,12 +3,17 @@
 Per language and source, the minimum covariance determinant (Rousseeuw, 1984)
 gives a centre and a scatter that a quarter of bad documents cannot move; a
 document whose transformed statistics lie too far out by Mahalanobis distance
-is rejected.
+is rejected. Several starts that need no random subsets (Hubert, Rousseeuw and
+Verdonck, 2012) are concentrated until their determinants stand still, the
+smallest one stays and is reweighted. Estimates of few rows lean on those of
+their language, and these on those of all rows, as if they had seen a fixed
+number of rows of theirs.
 
 The concentration steps run as aggregates: each document's squared distance
-falls into a fine bin, counts and moments are summed per group and bin, and the
-innermost bins that hold the wanted share of the group give the next estimate.
-A group of any size is a few hundred rows after the partial sums.
+falls into a fine bin, counts and moments are summed per group, start and bin,
+and the innermost bins that hold the wanted share of the group (the last one in
+part) give the next estimate. A group of any size is a few hundred rows after
+the partial sums.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dqspark.llm import worker
@@ -39,11 +44,19 @@ MIN_WORDS, WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper")
 FEATURES = ("log_words", "word_length", "symbols", "dup_lines", "repeats", "upper")
 #: Least standard deviation of each feature: below it, differences are no sign of bad text.
-FLOORS = (1.0, 0.25, 0.07, 0.25, 0.25, 0.1)
-SHARE, STEPS, TAIL = 0.75, 6, 1e-7
-#: Groups with fewer rows are judged with the other small ones of their language, then of all.
-MIN_ROWS = 200
-BINS_PER_OCTAVE = 8
+FLOORS = (1.0, 0.25, 0.07, 0.14, 0.12, 0.1)
+SHARE, TAIL = 0.75, 1e-7
+#: Rows within this share of the chi-square distribution make up the reweighted estimate.
+REWEIGHT = 0.975
+#: Rows that the estimate of the level above counts as.
+PRIOR_ROWS = 100
+#: Share of the correlations given up, so that any scatter has an inverse.
+RIDGE = 0.05
+#: Steps of all starts, how many go on, and the fall of the log determinant that still counts.
+FIRST_STEPS, GO_ON, STILL = 2, 2, 1e-3
+BINS_PER_OCTAVE = 16
+#: Parts of a group that are joined apart.
+SALTS = 16
 
 
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
@@ -145,24 +158,40 @@ def consistency(share: float, k: int, draws: int = 200_001) -> float:
     return float(k / inner.mean())
 
 
-def invert(mean: np.ndarray, scatter: np.ndarray) -> list[float]:
-    """Centre and inverse scatter, with each feature's variance at least its floor."""
+def regular(scatter: np.ndarray) -> np.ndarray:
+    """A scatter with each feature's variance at least its floor and an inverse."""
     scatter = scatter + np.diag(np.maximum(0, np.square(FLOORS) - np.diag(scatter)))
-    return [*mean, *np.linalg.inv(scatter).ravel()]
+    return (1 - RIDGE) * scatter + RIDGE * np.diag(np.diag(scatter))
+
+
+def invert(mean: np.ndarray, scatter: np.ndarray) -> list[float]:
+    """Centre and inverse of the regular scatter."""
+    return [*mean, *np.linalg.inv(regular(scatter)).ravel()]
+
+
+def matrix(row: pd.Series, prefix: str) -> np.ndarray:
+    """The symmetric matrix of the columns ``prefix``i_j."""
+    k = len(FEATURES)
+    return np.array([[row[f"{prefix}{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)])
+
+
+def spread(row: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and scatter of the sums n, s0.., s0_0.."""
+    mean = np.array([row[f"s{i}"] for i in range(len(FEATURES))]) / row["n"]
+    return mean, matrix(row, "s") / row["n"] - np.outer(mean, mean)
 
 
-def next_estimate(rows: pd.DataFrame, share: float, factor: float) -> list[float]:
-    """Centre and inverse scatter of the innermost bins that hold ``share`` of a group."""
+def next_estimate(rows: pd.DataFrame, share: float, factor: float) -> tuple[np.ndarray, np.ndarray]:
+    """Centre and scatter of the innermost bins that hold ``share`` of a group.
+
+    The last of these bins counts in part, so that determinants compare alike.
+    """
     rows = rows.sort_values("bin")
-    upto = rows["n"].cumsum()
-    inner = rows[(upto - rows["n"]) < share * upto.iloc[-1]]
-    k, n = len(FEATURES), inner["n"].sum()
-    mean = np.array([inner[f"s{i}"].sum() / n for i in range(k)])
-    scatter = np.empty((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            scatter[i, j] = scatter[j, i] = inner[f"s{i}_{j}"].sum() / n - mean[i] * mean[j]
-    return invert(mean, factor * scatter)
+    before = rows["n"].cumsum() - rows["n"]
+    wanted = share * rows["n"].sum()
+    part = ((wanted - before) / rows["n"]).clip(0, 1)
+    mean, scatter = spread(rows.drop(columns=["g", "start", "bin"]).astype(float).mul(part, axis=0).sum())
+    return mean, factor * scatter
 
 
 def distance(k: int = len(FEATURES)) -> Column:
@@ -175,45 +204,165 @@ def distance(k: int = len(FEATURES)) -> Column:
     return F.greatest(total, F.lit(0.0))
 
 
-def estimates(rows: DataFrame, staged: Staged, share: float = SHARE, steps: int = STEPS) -> DataFrame:
-    """(g, e): robust centre and inverse scatter of each group ``g`` of rows x0..
+def pairs(k: int = len(FEATURES)) -> list[tuple[int, int]]:
+    return [(i, j) for i in range(k) for j in range(i, k)]
+
+
+def sums() -> list[Column]:
+    """n, s0.. and s0_0..: number, sums and sums of products of x0.."""
+    out = [F.count("*").alias("n"), *[F.sum(f"x{i}").alias(f"s{i}") for i in range(len(FEATURES))]]
+    return out + [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}_{j}") for i, j in pairs()]
+
+
+def salted(small: DataFrame) -> DataFrame:
+    """``small`` once for each part of a group."""
+    return small.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+
+
+ESTIMATE = "g string, start int, e array<double>, log_det double"
 
-    The start is the middle of each feature (to a 64th) with the floors as
-    scatter. Then come ``steps`` concentration steps.
+
+def starts(rows: DataFrame, staged: Staged) -> DataFrame:
+    """ESTIMATE rows: three starts of each group, their determinants unknown (infinite).
+
+    All begin at the middle of each feature (to a 64th of a floor). Their scatters
+    are the squared quartile distances, those with the correlations of hyperbolic
+    tangents, and those with the correlations of spatial signs.
     """
     k = len(FEATURES)
-    width = [f / 16 for f in FLOORS]
-    long = rows.select(
-        "g", F.posexplode(F.array(*[F.floor(F.col(f"x{i}") / width[i]) for i in range(k)])).alias("feature", "bin")
-    )
-    tallied = long.groupBy("g", "feature", "bin").agg(F.count("*").alias("n"))
+    width = [f / 64 for f in FLOORS]
+    binned = F.array(*[F.floor(F.col(f"x{i}") / width[i]) for i in range(k)])
+    tallied = rows.select("g", F.posexplode(binned).alias("feature", "bin")).groupBy("g", "feature", "bin").agg(F.count("*").alias("n"))
 
     def middle(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        centre = np.zeros(k)
+        centre, scale = np.zeros(k), np.zeros(k)
         for i, part in frame.groupby("feature"):
             part = part.sort_values("bin")
-            upto = part["n"].cumsum()
-            centre[i] = (part["bin"][upto >= upto.iloc[-1] / 2].iloc[0] + 0.5) * width[i]
-        return pd.DataFrame({"g": [key[0]], "e": [invert(centre, np.zeros((k, k)))]})
+            upto, values = part["n"].cumsum(), (part["bin"] + 0.5) * width[i]
+            low, centre[i], high = (values[upto >= q * upto.iloc[-1]].iloc[0] for q in (0.25, 0.5, 0.75))
+            scale[i] = max(FLOORS[i], (high - low) / 1.349)
+        return pd.DataFrame({"g": [key[0]], "m": [centre], "w": [scale]})
 
     # A group has as many rows here as its features have bins, however large it is.
-    current = staged.write(tallied.groupBy("g").applyInPandas(middle, "g string, e array<double>"))
-    factor = consistency(share, k)
-    sums = [F.count("*").alias("n")]
-    sums += [F.sum(f"x{i}").alias(f"s{i}") for i in range(k)]
-    sums += [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}_{j}") for i in range(k) for j in range(i, k)]
+    middles = staged.write(tallied.groupBy("g").applyInPandas(middle, "g string, m array<double>, w array<double>"))
+    placed = rows.join(salted(middles), ["g", "salt"])
+    placed = placed.select("g", *[((F.col(f"x{i}") - F.col("m")[i]) / F.col("w")[i]).alias(f"z{i}") for i in range(k)])
+    length = F.sqrt(sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(1, k)), F.col("z0") * F.col("z0")))
+    placed = placed.withColumn("length", F.greatest(length, F.lit(1e-9)))
+    placed = placed.select("g", *[F.tanh(f"z{i}").alias(f"t{i}") for i in range(k)], *[(F.col(f"z{i}") / F.col("length")).alias(f"u{i}") for i in range(k)])
+    products = [F.avg(F.col(f"{c}{i}") * F.col(f"{c}{j}")).alias(f"{c}{i}_{j}") for c in "tu" for i, j in pairs()]
+    shapes = placed.groupBy("g").agg(*products).join(middles, "g")
+
+    def begin(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for _, row in frame.iterrows():
+                found = [np.eye(k)]
+                for c in "tu":
+                    shape = matrix(row, c)
+                    size = np.sqrt(np.maximum(np.diag(shape), 1e-9))
+                    found.append(shape / np.outer(size, size))
+                for start, shape in enumerate(found):
+                    out.append((row["g"], start, invert(row["m"], shape * np.outer(row["w"], row["w"])), np.inf))
+            yield pd.DataFrame(out, columns=["g", "start", "e", "log_det"])
+
+    return staged.write(shapes.mapInPandas(begin, ESTIMATE).withColumn("done", F.lit(False)))
+
+
+def concentrate(rows: DataFrame, current: DataFrame, staged: Staged, share: float) -> DataFrame:
+    """One concentration step of the estimates that are not ``done``.
+
+    One whose determinant does not fall any more keeps what it has and is done.
+    """
+    factor = consistency(share, len(FEATURES))
 
     def step(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"g": [key[0]], "e": [next_estimate(frame, share, factor)]})
+        mean, scatter = next_estimate(frame, share, factor)
+        log_det = np.linalg.slogdet(regular(scatter))[1]
+        return pd.DataFrame({"g": [key[0]], "start": [key[1]], "e": [invert(mean, scatter)], "log_det": [log_det]})
+
+    placed = rows.join(salted(current.where("NOT done").select("g", "start", "e")), ["g", "salt"])
+    binned = placed.withColumn("bin", F.floor(F.log2(1 + distance()) * BINS_PER_OCTAVE))
+    moments = binned.groupBy("g", "start", "bin").agg(*sums())
+    stepped = moments.groupBy("g", "start").applyInPandas(step, ESTIMATE)
+    stepped = stepped.select("g", "start", F.col("e").alias("next_e"), F.col("log_det").alias("next_det"))
+    fell = F.coalesce(F.col("next_det") < F.col("log_det") - STILL, F.lit(False))
+    following = staged.write(
+        current.join(stepped, ["g", "start"], "left").select(
+            "g", "start", F.when(fell, F.col("next_e")).otherwise(F.col("e")).alias("e"),
+            F.when(fell, F.col("next_det")).otherwise(F.col("log_det")).alias("log_det"), (~fell).alias("done"),
+        )
+    )
+    staged.drop(current)
+    return following
+
+
+def best(current: DataFrame, n: int) -> DataFrame:
+    """The ``n`` estimates of each group with the smallest determinants."""
+    place = F.row_number().over(Window.partitionBy("g").orderBy("log_det", "start"))
+    return current.withColumn("place", place).where(F.col("place") <= n).drop("place")
+
+
+def determinants(rows: DataFrame, staged: Staged, share: float = SHARE) -> DataFrame:
+    """ESTIMATE rows: the minimum covariance determinant of each group ``g`` of rows x0..
+
+    ``rows`` also have a number ``salt``. Steps go on while a determinant falls;
+    as floors bound it from below, they end. Of a group with fewer rows than
+    features it may be a local minimum only; such estimates hardly count.
+    """
+    current = starts(rows, staged)
+    for _ in range(FIRST_STEPS):
+        current = concentrate(rows, current, staged, share)
+    current = staged.write(best(current, GO_ON))
+    while current.where("NOT done").head(1):
+        current = concentrate(rows, current, staged, share)
+    return best(current, 1)
+
+
+def reweighted(rows: DataFrame, found: DataFrame, staged: Staged) -> DataFrame:
+    """(g, n, m, c): rows, mean and scatter of those of a group near its estimate."""
+    k = len(FEATURES)
+    factor, limit = consistency(REWEIGHT, k), chi_square(REWEIGHT, k)
+    near = rows.join(salted(found.select("g", "e")), ["g", "salt"]).where(distance() <= limit)
+    summed = near.groupBy("g").agg(*sums()).join(rows.groupBy("g").agg(F.count("*").alias("rows")), "g")
+
+    def finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for _, row in frame.iterrows():
+                mean, scatter = spread(row.drop("g").astype(float))
+                out.append((row["g"], row["rows"], mean, (factor * scatter).ravel()))
+            yield pd.DataFrame(out, columns=["g", "n", "m", "c"])
 
-    for _ in range(steps):
-        placed = rows.join(current, "g")
-        binned = placed.withColumn("bin", F.floor(F.log2(1 + distance()) * BINS_PER_OCTAVE))
-        moments = binned.groupBy("g", "bin").agg(*sums)
-        following = staged.write(moments.groupBy("g").applyInPandas(step, "g string, e array<double>"))
-        staged.drop(current)
-        current = following
-    return current
+    return staged.write(summed.mapInPandas(finish, "g string, n long, m array<double>, c array<double>"))
+
+
+def lean(n: int, mean: np.ndarray, scatter: np.ndarray, over: np.ndarray, wide: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An estimate of ``n`` rows after PRIOR_ROWS rows of the level above."""
+    total, apart = n + PRIOR_ROWS, mean - over
+    joint = (n * scatter + PRIOR_ROWS * wide + n * PRIOR_ROWS / total * np.outer(apart, apart)) / total
+    return (n * mean + PRIOR_ROWS * over) / total, joint
+
+
+def leaning(levels: DataFrame, found: DataFrame) -> DataFrame:
+    """(l, s, e): each group's estimate, leaning on its language's and that on the whole's."""
+    k = len(FEATURES)
+    for c in ("g0", "g1", "g2"):
+        own = found.select(F.col("g").alias(c), F.struct("n", "m", "c").alias(f"of_{c}"))
+        levels = levels.join(own, c)
+
+    def blend(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for _, row in frame.iterrows():
+                each = [(x["n"], np.array(x["m"]), np.array(x["c"]).reshape(k, k)) for x in row[["of_g0", "of_g1", "of_g2"]]]
+                mean, scatter = each[0][1:]
+                for own in each[1:]:
+                    mean, scatter = lean(*own, mean, scatter)
+                out.append((row["l"], row["s"], invert(mean, scatter)))
+            yield pd.DataFrame(out, columns=["l", "s", "e"])
+
+    return levels.mapInPandas(blend, "l string, s string, e array<double>")
 
 
 def quality_rules(
@@ -228,8 +377,9 @@ def quality_rules(
 
     Rows that pass the base rules make up the estimates of their language and
     source and are kept if their squared distance is at most the chi-square
-    quantile 1 - ``tail``. Null languages and sources are groups of their own;
-    groups of fewer than MIN_ROWS rows are pooled by language, then over all.
+    quantile 1 - ``tail``. Null languages and sources are groups of their own.
+    A group of any size is judged in the same way: it leans on its language and
+    that on all rows, by PRIOR_ROWS rows each.
     Null texts have no words and fail. Rows that fail have no distance. Equal
     rows get equal verdicts. No rows give no rows. Other columns are not read.
     """
@@ -239,23 +389,16 @@ def quality_rules(
     passed = rows.where(~F.col("base_failed")).select(
         named("lang").alias("l"), named("source").alias("s"), *[x.alias(f"x{i}") for i, x in enumerate(features())]
     )
-    sizes = staged.write(passed.groupBy("l", "s").agg(F.count("*").alias("n")))
-    small = sizes.where(F.col("n") < MIN_ROWS)
-    pooled = small.groupBy("l").agg(F.sum("n").alias("pool"))
-    levels = sizes.join(pooled, "l", "left").select(
-        "l",
-        "s",
-        F.when(F.col("n") >= MIN_ROWS, F.to_json(F.array("l", "s")))
-        .when(F.col("pool") >= MIN_ROWS, F.to_json(F.array("l")))
-        .otherwise("[]")
-        .alias("g"),
-    )
-    levels = staged.write(levels)
-    grouped = staged.write(passed.join(levels, ["l", "s"]).drop("l", "s"))
-    found = estimates(grouped, staged)
+    keys = [F.lit("[]"), F.to_json(F.array("l")), F.to_json(F.array("l", "s"))]
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt")
+    xs = [f"x{i}" for i in range(len(FEATURES))]
+    grouped = staged.write(passed.select(F.explode(F.array(*keys)).alias("g"), salt, *xs))
+    found = reweighted(grouped, determinants(grouped, staged), staged)
+    staged.drop(grouped)
+    levels = passed.select("l", "s").distinct().select("l", "s", *[x.alias(f"g{i}") for i, x in enumerate(keys)])
     named_rows = rows.withColumns({"l": named("lang"), "s": named("source")})
     named_rows = named_rows.withColumns({f"x{i}": x for i, x in enumerate(features())})
-    judged = named_rows.join(levels.join(found, "g"), ["l", "s"], "left").withColumn(
+    judged = named_rows.join(staged.write(leaning(levels, found)), ["l", "s"], "left").withColumn(
         "distance", F.when(~F.col("base_failed"), distance())
     )
     limit = chi_square(1 - tail, len(FEATURES))

@@ -6,6 +6,7 @@ import pytest
 
 from dqspark.llm import outliers
 from dqspark.llm.outliers import COUNTS, FLOORS, chi_square, consistency, counts, keep_good, quality_rules, repeated_words
+from dqspark.llm.staging import Staged
 from tests.llm.tables import make_docs, prose
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -47,23 +48,48 @@ def test_base_rules(spark):
     assert found == {1: (19, 0, True), 2: (20, 0, False), 3: (76, 16, False), 4: (36, 16, True)}
 
 
-def slow_estimate(x, share, steps):
-    """Concentration steps on all rows of one group, by the same bins."""
+def slow_distances(x, mean, scatter):
+    return np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(outliers.regular(scatter)), x - mean)
+
+
+def slow_determinant(x, share, draws=300, seed=0):
+    """Smallest log determinant, with its mean and scatter, from random subsets.
+
+    Concentration sorts all rows; the last row counts in part.
+    """
+    rng, k = np.random.default_rng(seed), x.shape[1]
+    factor, wanted, best = consistency(share, k), share * len(x), (np.inf, None, None)
+    for _ in range(draws):
+        own = x[rng.choice(len(x), min(len(x), k + 1), replace=False)]
+        mean, scatter, last = own.mean(0), np.cov(own.T, bias=True).reshape(k, k), np.inf
+        while True:
+            order = np.argsort(slow_distances(x, mean, scatter), kind="stable")
+            w = np.clip(wanted - np.arange(len(x)), 0, 1)
+            inner = x[order]
+            next_mean = (w[:, None] * inner).sum(0) / wanted
+            next_scatter = factor * ((w[:, None] * inner).T @ inner / wanted - np.outer(next_mean, next_mean))
+            det = np.linalg.slogdet(outliers.regular(next_scatter))[1]
+            if det > last - 1e-9:
+                break
+            mean, scatter, last = next_mean, next_scatter, det
+        if last < best[0]:
+            best = last, mean, scatter
+    return best
+
+
+def slow_reweighted(x):
     k = x.shape[1]
-    width = np.array(FLOORS) / 16
-    bins = np.floor(x / width)
-    centre = np.array([(np.sort(bins[:, i])[(len(x) + 1) // 2 - 1] + 0.5) * width[i] for i in range(k)])
-    scatter = np.zeros((k, k))
-    for step in range(steps + 1):
-        scatter = scatter + np.diag(np.maximum(0, np.square(FLOORS) - np.diag(scatter)))
-        d = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(scatter), x - centre)
-        if step == steps:
-            return d
-        bin_ = np.floor(np.log2(1 + d) * outliers.BINS_PER_OCTAVE)
-        limit = np.sort(bin_)[int(np.ceil(share * len(x))) - 1]
-        inner = x[bin_ <= limit]
-        centre = inner.mean(0)
-        scatter = (inner.T @ inner / len(inner) - np.outer(centre, centre)) * consistency(share, k)
+    _, mean, scatter = slow_determinant(x, outliers.SHARE, 100)
+    near = x[slow_distances(x, mean, scatter) <= chi_square(outliers.REWEIGHT, k)]
+    return len(x), near.mean(0), consistency(outliers.REWEIGHT, k) * np.cov(near.T, bias=True).reshape(k, k)
+
+
+def slow_lean(own, above):
+    """The estimate of rows ``own`` beside PRIOR_ROWS others of another mean and scatter."""
+    (n, mean, scatter), (over, wide), p = own, above, outliers.PRIOR_ROWS
+    centre = (n * mean + p * over) / (n + p)
+    around = [w * (c + np.outer(m - centre, m - centre)) for w, m, c in ((n, mean, scatter), (p, over, wide))]
+    return centre, sum(around) / (n + p)
 
 
 def feature_rows(texts):
@@ -78,26 +104,73 @@ def feature_rows(texts):
     return np.array(out)
 
 
-def test_distances_like_a_slow_estimate_by_group(spark, monkeypatch):
-    monkeypatch.setattr(outliers, "MIN_ROWS", 30)
+def numbers(spark, groups):
+    rows = [(g, i % 4, *map(float, x)) for g, xs in groups.items() for i, x in enumerate(xs)]
+    return spark.createDataFrame(rows, "g string, salt int, " + ", ".join(f"x{i} double" for i in range(len(FLOORS))))
+
+
+def test_determinants_are_as_small_as_those_of_many_random_subsets(spark):
+    rng, k = np.random.default_rng(3), len(FLOORS)
+    groups = {}
+    for name, n, bad in (("tiny", 3, 0), ("small", 30, 5), ("clean", 200, 0), ("tainted", 300, 66)):
+        mix = rng.normal(size=(k, k))
+        x = rng.normal(size=(n, k)) @ mix
+        x[:bad] = rng.normal(size=(bad, k)) * 0.3 + 25 * rng.choice([-1, 1], k)
+        groups[name] = x
+    groups["equal"] = np.ones((50, k))
+    found = {r.g: r for r in outliers.determinants(numbers(spark, groups), Staged(spark, "test")).collect()}
+    assert set(found) == set(groups)
+    assert np.isfinite(found["tiny"].log_det)  # fewer rows than features: any estimate will do, it leans
+    for name in ("small", "clean", "tainted", "equal"):
+        x = groups[name]
+        assert found[name].log_det <= slow_determinant(x, outliers.SHARE)[0] + 0.1, name
+    bad = np.array(found["tainted"].e[:k])
+    assert np.abs(bad - groups["tainted"][66:].mean(0)).max() < 1
+
+
+def test_distances_like_a_slow_estimate_by_group(spark):
     good = [(i, prose(i, 40 + i % 60), "en", "a" if i % 2 else "b") for i in range(100)]
-    small = [(200 + i, prose(200 + i, 50), None, f"s{i}") for i in range(40)]  # pooled by language
-    rest = [(300 + i, prose(300 + i, 50), f"l{i}", None) for i in range(8)]  # pooled over all
+    small = [(200 + i, prose(200 + i, 50), None, f"s{i % 3}") for i in range(40)]
+    rest = [(300 + i, prose(300 + i, 50), f"l{i}", None) for i in range(8)]
     junk = [(400 + i, prose(400 + i, 50).replace(" ", "### "), "en", "a") for i in range(5)]
     docs = good + small + rest + junk
     found = {r.id: r for r in quality_rules(make_docs(spark, docs)).collect()}
-    groups = {}
-    for d in docs:
-        key = ("en", d[3]) if d[2] == "en" else ("none",) if d[2] is None else ()
-        groups.setdefault(key, []).append(d)
-    for own in groups.values():
-        expected = slow_estimate(feature_rows([d[1] for d in own]), outliers.SHARE, outliers.STEPS)
-        for d, x in zip(own, expected):
-            assert found[d[0]].distance == pytest.approx(x, rel=1e-6, abs=1e-6)
-            assert found[d[0]].kept == (x <= chi_square(1 - outliers.TAIL, len(FLOORS)))
+    x = dict(zip((d[0] for d in docs), feature_rows([d[1] for d in docs])))
+    levels = {}
+    for i, _, lang, source in docs:
+        for key in ((), (lang,), (lang, source)):
+            levels.setdefault(key, []).append(x[i])
+    own = {key: slow_reweighted(np.array(rows)) for key, rows in levels.items()}
+    for i, _, lang, source in docs:
+        estimate = slow_lean(own[lang, source], slow_lean(own[lang,], own[()][1:]))
+        expected = slow_distances(x[i][None, :], *estimate)[0]
+        assert found[i].distance == pytest.approx(expected, rel=0.2, abs=1)
+        assert found[i].kept == (expected <= chi_square(1 - outliers.TAIL, len(FLOORS)))
     assert all(found[i].kept for i, *_ in good + small + rest) and not any(found[i].kept for i, *_ in junk)
 
 
+def test_one_more_row_changes_little(spark):
+    base = [(i, prose(i, 40 + i % 60), "en", "a") for i in range(199)]
+    other = [(1000 + i, prose(5000 + i, 30 + i % 90), "en", "b") for i in range(60)]
+    odd = (500, prose(500, 50).replace(" ", "# ", 12), "en", "a")
+    found = []
+    for more in range(3):
+        rows = base[:198] + [odd] + [(2000 + i, prose(2000 + i, 55), "en", "a") for i in range(more)] + other
+        found.append({r.id: r for r in quality_rules(make_docs(spark, rows)).collect()})
+    for i in found[0]:
+        assert len({f[i].kept for f in found}) == 1
+        assert found[1][i].distance == pytest.approx(found[0][i].distance, rel=0.25, abs=0.5)
+        assert found[2][i].distance == pytest.approx(found[1][i].distance, rel=0.25, abs=0.5)
+
+
+def test_pages_of_copied_lines_are_outliers(spark):
+    plain = [(i, prose(i, 80), "en", "a") for i in range(60)]
+    lines = "\n".join(["ba ce di"] + [f"{w} pe qui ro su ta" for w in "fo gu ha je".split()])
+    copied = [(900, "\n".join([prose(77, 12).replace("\n", " "), *["ba ce di"] * 40]), "en", "a"), (901, lines + "\n" + lines, "en", "a")]
+    found = {r.id: r for r in quality_rules(make_docs(spark, plain + copied)).collect()}
+    assert not found[900].kept and all(found[i].kept for i, *_ in plain)
+
+
 def test_awkward_rows(awkward):
     rows = quality_rules(awkward).collect()
     assert len(rows) == awkward.count()
