@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dqspark.llm import worker
@@ -54,6 +54,9 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         with open(ranks, "rb") as lines:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        self.n_bytes = np.zeros(max(table.values()) + 1, np.int64)
+        for token, number in table.items():
+            self.n_bytes[number] = len(token)
         self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
         self.odd = re.compile("[^\x20-\x7e\n\t¡-ɏ]").search
         self.tokenizer, self.slow = tokenizer, None
@@ -68,6 +71,11 @@ class Encoder:
             self.slow.encode_special_tokens = True
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4")
 
+    def leading(self, ids: np.ndarray, n_bytes: int) -> int:
+        """How many of the ids begin within the first bytes of their text."""
+        sizes = self.n_bytes[ids[:n_bytes]]
+        return int(np.searchsorted(np.cumsum(sizes) - sizes, n_bytes))
+
 
 def encoder(tokenizer: str, ranks: str, pattern: str) -> Encoder:
     return worker.kept(("encoder", tokenizer, ranks), lambda: Encoder(tokenizer, ranks, pattern))
@@ -84,6 +92,10 @@ class Limits:
             raise ValueError("each limit must be 1 or more")
 
 
+#: Limits of the query: each of them closes sequences, at about 1 % of padding.
+INSTRUCTIONS = Limits(2048, 10, 2016)
+
+
 @dataclass
 class Packer:
     """Pieces waiting for a sequence, grouped by their size (tokens, loss)."""
@@ -152,6 +164,7 @@ def pack(
     id_col: str = "doc_id",
     text_col: str = "text",
     prompt_col: str | None = None,
+    lead: Column | None = None,
     limits: Limits | None = None,
     eos: int = EOS,
     with_ids: bool = False,
@@ -159,7 +172,9 @@ def pack(
     """One row per piece of an example, with its sequence and its place there.
 
     The ids of an example are those of its prompt (``prompt_col``; none by
-    default), which bear no loss, of its text, and ``eos``. An example beyond a
+    default), which bear no loss, of its text, and ``eos``. ``lead`` is the number
+    of characters at the beginning of the text, null for none, that are an
+    instruction too: ids that begin there bear no loss. An example beyond a
     limit is cut; each id is in exactly one piece. ``with_ids`` adds the ids.
     Null prompts and texts are empty (one id); null and repeated ids of rows are
     allowed, as rows are packed one by one. No rows give no rows. Other columns
@@ -196,10 +211,13 @@ def pack(
             return pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in schema.split(", ")])
 
         for batch in worker.slices(batches):
-            for key, head, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, head, text, n_lead in zip(*(c.to_pylist() for c in batch.columns)):
                 parts = [read.ids(x) for x in (head or "", text or "")]
+                free = len(parts[0])
+                if n_lead and text:
+                    free += read.leading(parts[1], len(text[:n_lead].encode("utf-8", "surrogatepass")))
                 ids = np.concatenate([*parts, np.array([eos], "<u4")])
-                for start, length, loss in cuts(len(ids), len(parts[0]), limits):
+                for start, length, loss in cuts(len(ids), free, limits):
                     piece = ids[start : start + length]
                     row = (key, start, length, zlib.crc32(piece.tobytes()), len(ids), loss)
                     packer.add(length, loss, (*row, piece.astype(np.int32)) if with_ids else row)
@@ -207,7 +225,12 @@ def pack(
                 yield from written(KEEP)
         yield from written(0)
 
-    read = docs.select(F.col(id_col).cast("long").alias("id"), prompt.alias("prompt"), F.col(text_col).alias("text"))
+    read = docs.select(
+        F.col(id_col).cast("long").alias("id"),
+        prompt.alias("prompt"),
+        F.col(text_col).alias("text"),
+        (F.lit(None) if lead is None else lead).cast("int").alias("lead"),
+    )
     return read.mapInArrow(work, schema)
 
 
@@ -222,6 +245,12 @@ def public_encoding() -> tuple[str, str, str]:
     )
 
 
+def first_line(text_col: str = "text") -> Column:
+    """Characters of the first line and its end, for texts of several lines; else none."""
+    text = F.col(text_col)
+    return F.when(F.contains(text, F.lit("\n")), F.length(F.substring_index(text, "\n", 1)) + 1).otherwise(0)
+
+
 def op1_vector_packing(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return pack(docs, *public_encoding()).drop("loss_tokens")
+    return pack(docs, *public_encoding(), lead=first_line(), limits=INSTRUCTIONS)

@@ -1,3 +1,4 @@
+import os
 import zlib
 from collections import defaultdict
 
@@ -7,7 +8,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from dqspark.llm.packing import EOS, Encoder, Limits, Packer, cuts, pack, public_encoding
+from dqspark.llm.packing import (
+    EOS, INSTRUCTIONS, Encoder, Limits, Packer, cuts, first_line, op1_vector_packing, pack, public_encoding,
+)
+from tests.llm.tables import make_docs, prose
 
 
 @pytest.fixture(scope="module")
@@ -62,6 +66,55 @@ def test_no_limit_is_broken_and_nothing_is_lost(sizes, keep):
         assert len(s) <= 4 and sum(p[1] for p in s) <= 40 and sum(p[2] for p in s) <= 30
 
 
+def test_leads_bear_no_loss(spark, tokenizer):
+    texts = ["Do this:\nà la carte 漢字 and more", "no line end", "\n", "héé🙂\n\nb", None, "", "first\n" + prose(5, 4000)]
+    docs = make_docs(spark, list(enumerate(texts)))
+    rows = pack(docs, *public_encoding(), lead=first_line(), limits=INSTRUCTIONS).collect()
+    for i, text in enumerate(texts):
+        text = text or ""
+        cut = text.index("\n") + 1 if "\n" in text else 0
+        offsets = tokenizer.encode(text, add_special_tokens=False).offsets
+        free = sum(start < cut for start, _ in offsets)
+        own = sorted((r.start, r.length, r.loss_tokens) for r in rows if r.doc_id == i)
+        assert sum(n for _, n, _ in own) == len(offsets) + 1
+        assert all(loss == max(0, start + n - max(start, free)) for start, n, loss in own)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 40), st.integers(0, 40)), min_size=1, max_size=40))
+def test_each_choice_has_the_greatest_dot_product(sizes):
+    limits = Limits(40, 5, 25)
+    caps = (40, 5, 25)
+    waiting = [(t, 1, min(x, t, 25)) for t, x in sizes]
+    packer = Packer(limits)
+    for w in waiting:
+        packer.add(w[0], w[2], w)
+    for chosen in packer.close(0):
+        demand = [sum(w[d] for w in waiting) / caps[d] for d in range(3)]
+        room = list(caps)
+        for piece in chosen:
+            value = lambda w: sum(demand[d] * w[d] / caps[d] * room[d] / caps[d] for d in range(3))  # noqa: B023, E731
+            fitting = [value(w) for w in waiting if all(w[d] <= room[d] for d in range(3))]
+            assert value(piece) >= max(fitting) * (1 - 1e-9)
+            waiting.remove(piece)
+            room = [r - x for r, x in zip(room, piece)]
+        assert not [w for w in waiting if all(w[d] <= room[d] for d in range(3))]
+    assert not waiting
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no tables")
+def test_each_limit_of_the_query_closes_sequences(spark):
+    rows = op1_vector_packing(spark, "/root/testdata/sf0.01").collect()
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append(r)
+    sums = [(sum(r.length for r in own), len(own), sum(r.loss_tokens for r in own)) for own in sequences.values()]
+    limits = (INSTRUCTIONS.tokens, INSTRUCTIONS.segments, INSTRUCTIONS.loss)
+    closed = [sum(s[d] == limits[d] for s in sums) for d in range(3)]
+    assert all(x <= y for s in sums for x, y in zip(s, limits)) and min(closed) > 0
+    assert sum(s[0] for s in sums) > 0.985 * 2048 * len(sums)
+
+
 def test_little_padding():
     rng = np.random.default_rng(0)
     sizes = np.minimum(2047, rng.lognormal(6.3, 1.0, 5000).astype(int) + 1).tolist()
