@@ -7,9 +7,9 @@ weighted five-word shingles; blocks of its bits find all items of that size
 whose fingerprint is within RADIUS bits; the similarity of the weighted
 shingles themselves decides.
 
-Items are shipped to the tasks in blocks of bounded size, so a benchmark of any
-size takes as many passes over the documents as it has blocks and there is no
-shuffle of documents.
+Items are dealt to blocks of bounded size in the shared folder and shipped to the
+tasks block by block, so a benchmark of any size takes as many passes over the
+documents as it has blocks and there is no shuffle of documents.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from dqspark.llm import worker
 from dqspark.llm.rows import pick
+from dqspark.llm.staging import Staged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(worker)
@@ -214,16 +215,17 @@ class Items:
                     best[numbers[k]].append((score, start + shift, size))
 
 
-def blocks_of(items: Iterator[tuple[int, str]]) -> Iterator[list[tuple[int, str]]]:
-    block, chars = [], 0
-    for item in items:
-        if block and (len(block) >= BLOCK_ITEMS or chars + len(item[1]) > BLOCK_CHARS):
-            yield block
-            block, chars = [], 0
-        block.append(item)
-        chars += len(item[1])
-    if block:
-        yield block
+def blocks_of(items: DataFrame, item_col: str, staged: Staged) -> tuple[DataFrame, int]:
+    """Items (block, i, t) in the shared folder, dealt to blocks at random, and how many blocks.
+
+    A block has some BLOCK_ITEMS items and BLOCK_CHARS characters. Repeated
+    items are dealt like others.
+    """
+    listed = items.select(F.col(item_col).cast("long").alias("i"), F.col("text").alias("t")).where("t IS NOT NULL")
+    size = listed.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("t")), F.lit(0)).alias("chars")).first()
+    count = -(-max(size.n * BLOCK_CHARS, size.chars * BLOCK_ITEMS) // (BLOCK_ITEMS * BLOCK_CHARS))
+    block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(max(1, count))).cast("int")
+    return staged.write(listed.select(block.alias("block"), "i", "t")), count
 
 
 SCHEMA = "id long, text_key long, item_id long, start long, n_words long, similarity double"
@@ -241,15 +243,20 @@ def find_passages(
     and wordless texts and items match nothing; null ids are kept as such;
     repeated rows each give theirs. Without items or rows there are no rows.
     Other columns are not read.
+
+    The items are staged in blocks; each block is a pass over ``docs`` whose
+    findings are staged too, so the driver holds one block at a time.
     """
     key = F.xxhash64(F.col(text_col))
     read = docs.select(F.col(id_col).cast("long").alias("id"), key.alias("text_key"), F.col(text_col).alias("text"))
-    listed = items.select(F.col(item_col).cast("long").alias("i"), F.col("text").alias("t")).where("t IS NOT NULL").orderBy("i", "t")
-    out = None
-    for block in blocks_of((r.i, r.t) for r in listed.toLocalIterator()):
-        found = read.mapInArrow(_search(block), SCHEMA)
-        out = found if out is None else out.unionByName(found)
-    return out if out is not None else docs.sparkSession.createDataFrame([], SCHEMA)
+    staged = Staged(docs.sparkSession, "decontamination")
+    blocks, count = blocks_of(items, item_col, staged)
+    found = []
+    for number in range(count):
+        block = [(r.i, r.t) for r in blocks.where(F.col("block") == number).select("i", "t").collect()]
+        block.sort(key=lambda item: (item[0] is not None, item[0] or 0, item[1]))
+        found.append(staged.write(read.mapInArrow(_search(block), SCHEMA)))
+    return staged.union(found, SCHEMA)
 
 
 def _search(block: list[tuple[int, str]]):

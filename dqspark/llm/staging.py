@@ -49,6 +49,12 @@ class Staged:
         out._staged_path = path
         return out
 
+    def union(self, tables: list[DataFrame], schema: str) -> DataFrame:
+        """All rows of staged tables of one schema, as one scan."""
+        if not tables:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(tables[0].schema).parquet(*[t._staged_path for t in tables])
+
     def free(self) -> None:
         """Let go of shuffle files that no live table needs.
 

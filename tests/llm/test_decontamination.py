@@ -8,6 +8,7 @@ from dqspark.llm import decontamination
 from dqspark.llm.decontamination import (
     BLOCKS, RADIUS, HammingIndex, Items, drop_contaminated, find_passages, shingles, similarity, simhash, words_of,
 )
+from dqspark.llm.staging import Staged
 from tests.llm.tables import make_docs, prose
 
 
@@ -65,6 +66,12 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch):
     whole = {tuple(r) for r in find_passages(docs, items).collect()}
     monkeypatch.setattr(decontamination, "BLOCK_ITEMS", 5)
     assert {tuple(r) for r in find_passages(docs, items).collect()} == whole
+    many = items.unionByName(items).unionByName(items.where("item_id = 3"))
+    staged = Staged(spark, "test")
+    blocks, count = decontamination.blocks_of(many, "item_id", staged)
+    sizes = [r["count"] for r in blocks.groupBy("block").count().collect()]
+    assert count == 7 and sum(sizes) == 33 and max(sizes) < 15
+    assert {tuple(r) for r in find_passages(docs, many).collect()} == whole
 
 
 def test_index_misses_no_fingerprint_within_the_radius():
