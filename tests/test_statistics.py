@@ -1,13 +1,17 @@
 """Descriptive statistics, ranks, correlation, tests and chart data against NumPy."""
 
 import math
+import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from tests.conftest import by, rows
 
@@ -312,6 +316,16 @@ def test_the_larger_sample_may_be_of_any_size():
         tails.rank_sum_tail_value(50, 9, 20)
 
 
+def test_tails_run_where_the_package_is_missing(tmp_path):
+    cases = [(tails.rank_sum_tail, [3.0], [3], [20]), (tails.beta_tail, [1.5], [0.5], [2.0]), (tails.normal_tail, [1.0])]
+    (tmp_path / "cases").write_bytes(cloudpickle.dumps([(udf.func, [pd.Series(a) for a in args]) for udf, *args in cases]))
+    code = "import pickle; [print(f(*args)[0]) for f, args in pickle.load(open('cases', 'rb'))]"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
+    expected = [tails.rank_sum_tail_value(3, 3, 20), tails.beta_tail_value(1.5, 0.5, 2.0), math.erfc(math.sqrt(0.5))]
+    assert (run.returncode, [float(x) for x in run.stdout.split()]) == (0, pytest.approx(expected)), run.stderr
+
+
 def test_methods_of_mann_whitney(spark):
     one = [(float(i), "a") for i in range(5)] + [(float(i), "b") for i in range(10, 2012)]
     df = spark.createDataFrame(one, "v double, g string")
