@@ -93,10 +93,11 @@ def spearman_test(df: DataFrame, x: str, y: str, alpha: float = fixed.ALPHA) ->
 # --- two groups ----------------------------------------------------------------
 
 
-def _two_groups(df: DataFrame, value: str, group: str, a, b) -> DataFrame:
-    """``value`` and ``in_a`` of the rows of either group."""
+def _two_groups(df: DataFrame, value: str, group: str, a, b, **more: Column) -> DataFrame:
+    """``value`` and ``in_a`` of the rows of either group, and the columns ``more``."""
     label = F.col(group)
-    rows = df.select(numeric(df, value).alias("value"), (label == F.lit(a)).alias("in_a"), label.isin([a, b]).alias("_kept"))
+    found = [numeric(df, value).alias("value"), (label == F.lit(a)).alias("in_a"), label.isin([a, b]).alias("_kept")]
+    rows = df.select(*found, *[c.alias(name) for name, c in more.items()])
     return rows.where(F.col("_kept") & F.col("value").isNotNull()).drop("_kept")
 
 
@@ -132,7 +133,9 @@ def welch_test(df: DataFrame, value: str, group: str, a, b, alpha: float = fixed
     return _verdict(welch_stats(df, value, group, a, b), _texts("welch", shown, value=value, a=a, b=b), alpha)
 
 
-def mann_whitney_stats(df: DataFrame, value: str, group: str, a, b, method: str = "auto") -> DataFrame:
+def mann_whitney_stats(
+    df: DataFrame, value: str, group: str, a, b, method: str = "auto", apart: str | None = None
+) -> DataFrame:
     """One row: sizes, medians, U of group ``a`` and the two-sided p.
 
     Works on the table of distinct values, never on ranked rows. ``auto`` takes
@@ -140,25 +143,35 @@ def mann_whitney_stats(df: DataFrame, value: str, group: str, a, b, method: str
     EXACT_SAMPLE, whatever the size of the other, else the normal one with tie
     and continuity corrections. ``asymptotic`` always takes the normal one;
     ``exact`` fails where the exact one does not apply.
+
+    With ``apart``, rows of one value have ranks of their own, in the order of
+    that column. Rows that agree in it too change no rank sum by their order if
+    they are on one side; only those of both sides are still tied.
     """
-    rows = _two_groups(df, value, group, a, b)
+    more = {} if apart is None else {"apart": F.col(apart)}
+    order = ["value", *more]
+    rows = _two_groups(df, value, group, a, b, **more)
     counts = (
-        rows.groupBy(F.lit(value).alias("column"), "value")
+        rows.groupBy(F.lit(value).alias("column"), *order)
         .agg(F.count("*").alias("n"), F.count_if("in_a").alias("in_a"))
     )
-    return rank_sums(average_ranks(counts, ["column"]), method)
+    return rank_sums(average_ranks(counts, ["column"], order), method, order)
 
 
-def rank_sums(ranked: DataFrame, method: str = "auto") -> DataFrame:
-    """``mann_whitney_stats`` from the ranks of the distinct values (value, n, in_a, avg_rank)."""
+def rank_sums(ranked: DataFrame, method: str = "auto", order: Sequence[str] = ("value",)) -> DataFrame:
+    """``mann_whitney_stats`` from the ranks of the distinct values (value, n, in_a, avg_rank).
+
+    Rows that further columns in ``order`` ranked apart tie with the other side only.
+    """
     if method not in ("auto", "exact", "asymptotic"):
         raise ValueError(f"unknown method {method!r}")
     n = F.col("n").cast("double")
+    tied = F.lit(True) if len(order) == 1 else (F.col("in_a") > 0) & (F.col("in_a") < F.col("n"))
     sums = ranked.agg(
         F.coalesce(F.sum("in_a"), F.lit(0)).alias("n_a"),
         F.coalesce(F.sum(F.col("n") - F.col("in_a")), F.lit(0)).alias("n_b"),
         F.sum(F.col("in_a") * F.col("avg_rank")).alias("rank_sum"),
-        F.sum(n * n * n - n).alias("ties"),
+        F.sum(F.when(tied, n * n * n - n).otherwise(0.0)).alias("ties"),
     )
     na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     u = F.col("rank_sum") - na * (na + 1) / 2
@@ -181,7 +194,7 @@ def rank_sums(ranked: DataFrame, method: str = "auto") -> DataFrame:
         )
     )
     # The counts of both sides are in the staged table of the ranks.
-    medians = quantile_table(ranked.select("value", sides).where("n > 0"), ["side"], [0.5])
+    medians = quantile_table(ranked.select(*order, sides).where("n > 0"), ["side"], [0.5], order)
     folded = medians.groupBy().agg(
         F.struct(*[F.max(F.when(F.col("side") == s, F.col("q")[0])).alias(s) for s in "ab"]).alias("m")
     )

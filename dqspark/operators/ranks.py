@@ -52,7 +52,9 @@ def modes(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counts.groupBy(*keys).agg(best["value"].alias("mode"))
 
 
-def slices(counts: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def slices(
+    counts: DataFrame, keys: Sequence[str], order: Sequence[str] = ("value",)
+) -> tuple[DataFrame, DataFrame]:
     """Range-partitioned counts with their slice number, and one row per slice.
 
     The slice number is a partition id, so the table is staged before it is
@@ -60,7 +62,7 @@ def slices(counts: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame
     group ``total``; it has about one row per partition and group.
     """
     sliced = stage(
-        counts.repartitionByRange(*keys, "value").withColumn("slice", F.spark_partition_id())
+        counts.repartitionByRange(*keys, *order).withColumn("slice", F.spark_partition_id())
     )
     groups = W.partitionBy(*keys)
     earlier = groups.orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
@@ -73,25 +75,28 @@ def slices(counts: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame
     return sliced, totals
 
 
-def _running(keys: Sequence[str]) -> Column:
+def _running(keys: Sequence[str], order: Sequence[str] = ("value",)) -> Column:
     """Rows of the window's partition with a smaller value."""
-    before = W.partitionBy(*keys).orderBy("value").rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     return F.coalesce(F.sum("n").over(before), F.lit(0))
 
 
-def positions(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+def positions(counts: DataFrame, keys: Sequence[str], order: Sequence[str] = ("value",)) -> DataFrame:
     """Add ``before`` (rows of the group with a smaller value) and ``total``."""
-    sliced, totals = slices(counts, keys)
+    sliced, totals = slices(counts, keys, order)
     return (
         sliced.join(totals.drop("slice_n"), [*keys, "slice"])
-        .withColumn("before", F.col("slice_before") + _running([*keys, "slice"]))
+        .withColumn("before", F.col("slice_before") + _running([*keys, "slice"], order))
         .drop("slice", "slice_before")
     )
 
 
-def average_ranks(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add ``avg_rank``: ties share the mean of the ranks they cover."""
-    return positions(counts, keys).withColumn("avg_rank", F.col("before") + (F.col("n") + 1) / 2)
+def average_ranks(counts: DataFrame, keys: Sequence[str], order: Sequence[str] = ("value",)) -> DataFrame:
+    """Add ``avg_rank``: ties share the mean of the ranks they cover.
+
+    Columns after ``value`` in ``order`` rank the rows of one value apart.
+    """
+    return positions(counts, keys, order).withColumn("avg_rank", F.col("before") + (F.col("n") + 1) / 2)
 
 
 def ranks_and_sizes(counts: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, dict[tuple, int]]:
@@ -142,9 +147,14 @@ def _interpolated(ends: DataFrame, keys: Sequence[str], probs: Sequence[float])
     return ends.select(*keys, "total", q.alias("q"))
 
 
-def quantile_table(counts: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact, linearly interpolated quantiles: ``(keys..., total, q array)``."""
-    return quantiles_of_slices(*slices(counts, keys), keys, probs)
+def quantile_table(
+    counts: DataFrame, keys: Sequence[str], probs: Sequence[float], order: Sequence[str] = ("value",)
+) -> DataFrame:
+    """Exact, linearly interpolated quantiles: ``(keys..., total, q array)``.
+
+    Columns after ``value`` in ``order`` only cut the rows of one value into slices.
+    """
+    return quantiles_of_slices(*slices(counts, keys, order), keys, probs)
 
 
 def quantiles_of_slices(

@@ -3,6 +3,7 @@
 import csv as pycsv
 from pathlib import Path
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 from tests.conftest import RAW_COLUMNS, RAW_ROWS, by, rows
@@ -133,3 +134,15 @@ LIGHT = (
 def test_queries_agree_with_their_oracle(spark, name):
     found = contract.queries()[name](spark, SF)
     assert difference(found, connect(SF), contract.oracle_sql()[name], name) is None
+
+
+def test_orders_of_one_value_are_compared_by_their_ranks(spark, tmp_path):
+    """10.02 with key 2 and 10.00 with key 2,000,002 have one value; the order with key 7 comes twice."""
+    orders = [(1, 10.01), (5001, 99.5), (10001, 9.0), (2, 10.02), (2_000_002, 10.0), (3, 10.05), (3_000_003, 10.02)]
+    orders += [(7, 50.0), (7, 50.0), (4, 120.25), (8, 8.0), (15001, 10.03)]
+    spark.createDataFrame(orders, "o_orderkey bigint, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
+    name = "test_mann_whitney_small"
+    found = contract.queries()[name](spark, str(tmp_path))
+    assert difference(found, con, contract.oracle_sql()[name], name) is None

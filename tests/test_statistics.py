@@ -5,6 +5,7 @@ import os
 import random
 import subprocess
 import sys
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -338,6 +339,23 @@ def test_methods_of_mann_whitney(spark):
         hypothesis.mann_whitney_stats(df, "v", "g", "a", "b", "best")
 
 
+def test_rows_of_one_value_are_ranked_apart(spark):
+    found = [(5.0, 1, "few"), (5.0, 2, "rest"), (5.0, 0, "rest"), (7.0, 3, "rest"), (7.0, 4, "rest"), (7.0, 4, "rest")]
+    found += [(9.0, 8, "few"), (9.0, 8, "few"), (9.0, 9, "rest"), (1.0, 7, "rest"), (None, 6, "few")]
+    df = spark.createDataFrame(found, "v double, k int, g string").repartition(3)
+    ordered = sorted(r for r in found if r[0] is not None)
+    places = [i for i, r in enumerate(ordered) if r[2] == "few"]
+    sums = [sum(c) for c in combinations(range(10), 3)]
+    low, high = np.mean([s <= sum(places) for s in sums]), np.mean([s >= sum(places) for s in sums])
+    few, rest = ([r[0] for r in ordered if r[2] == g] for g in ("few", "rest"))
+    expected = (3, 7, np.median(few), np.median(rest), sum(places) - 3, pytest.approx(min(1, 2 * min(low, high))))
+    for method in ("auto", "exact"):
+        assert rows(hypothesis.mann_whitney_stats(df, "v", "g", "few", "rest", method, apart="k")) == [expected]
+    both = df.withColumn("k", F.lit(1))
+    with pytest.raises(Exception, match="no ties"):
+        hypothesis.mann_whitney_stats(both, "v", "g", "few", "rest", "exact", apart="k").collect()
+
+
 def test_mann_whitney_small_samples_are_exact(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", 3.0), ("b", 4.0), ("b", 5.0), ("b", 6.0)], "g string, v double")
     found = hypothesis.mann_whitney_stats(df, "v", "g", "a", "b").first()
